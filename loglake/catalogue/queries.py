@@ -101,6 +101,15 @@ def _cleaned_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_contract(clean_and_type(events.dirty_logs(spark, sf_dir)))
 
 
+def _stored_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty batch cleaned, reduced and staged, as the gate finds it."""
+
+    def write(path: str) -> None:
+        keep_latest(_cleaned_dirty(spark, sf_dir)).write.parquet(path)
+
+    return spark.read.schema(SILVER_SCHEMA).parquet(_once(spark, sf_dir, "dirty", write))
+
+
 def _early_files(numbered: DataFrame) -> DataFrame:
     half = numbered.agg(F.max("arrival_no") / 2).scalar()
     return source_files(numbered.where(F.col("arrival_no") <= half))
@@ -236,7 +245,7 @@ def fct_requests_daily(spark, sf_dir):
 
 @_query
 def fct_with_missing_values(spark, sf_dir):
-    return marts.fct_requests_daily(stg_logs(keep_latest(_cleaned_dirty(spark, sf_dir))))
+    return marts.fct_requests_daily(stg_logs(_stored_dirty(spark, sf_dir)))
 
 
 @_query
@@ -296,7 +305,7 @@ def requests_per_endpoint(spark, sf_dir):
 
 @_query
 def quality_stats(spark, sf_dir):
-    return quality.batch_stats(keep_latest(_cleaned_dirty(spark, sf_dir)))
+    return quality.batch_stats(_stored_dirty(spark, sf_dir))
 
 
 @_query
@@ -306,7 +315,7 @@ def quality_report_clean(spark, sf_dir):
 
 @_query
 def quality_report_dirty(spark, sf_dir):
-    return quality.gate_report(quality.batch_stats(keep_latest(_cleaned_dirty(spark, sf_dir))))
+    return quality.gate_report(quality.batch_stats(_stored_dirty(spark, sf_dir)))
 
 
 @_query
@@ -324,7 +333,7 @@ def quality_report_empty(spark, sf_dir):
 
 @_query
 def quality_summary(spark, sf_dir):
-    stats = quality.batch_stats(keep_latest(_cleaned_dirty(spark, sf_dir)))
+    stats = quality.batch_stats(_stored_dirty(spark, sf_dir))
     return quality.report_summary(quality.gate_report(stats))
 
 
@@ -335,7 +344,7 @@ def bad_values(spark, sf_dir):
 
 @_query
 def rows_by_broken_rule(spark, sf_dir):
-    return quality.rows_by_broken_rule(keep_latest(_cleaned_dirty(spark, sf_dir)))
+    return quality.rows_by_broken_rule(_stored_dirty(spark, sf_dir))
 
 
 # --- data tests --------------------------------------------------------------
@@ -389,8 +398,7 @@ def data_test_suite(spark, sf_dir):
 
 @_query
 def data_test_suite_dirty(spark, sf_dir):
-    dirty = tables.scratch_table(keep_latest(_cleaned_dirty(spark, sf_dir)), "dirty")
-    return datatests.run_data_tests(_models(dirty), AS_OF)
+    return datatests.run_data_tests(_models(_stored_dirty(spark, sf_dir)), AS_OF)
 
 
 @_query
@@ -419,14 +427,23 @@ def field_history(spark, sf_dir):
     return schemas.field_history(_fields_by_file(spark, sf_dir))
 
 
+def _clean_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields per file, found once: a row per file and field, however long the files."""
+
+    def write(path: str) -> None:
+        schemas.json_fields(events.json_lines(events.logs(spark, sf_dir))).write.parquet(path)
+
+    return spark.read.parquet(_once(spark, sf_dir, "fields", write))
+
+
 def _first_file_against_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_file = schemas.json_fields(events.json_lines(events.logs(spark, sf_dir)))
+    by_file = _clean_fields(spark, sf_dir)
     first = by_file.where(F.col("_source_file") == by_file.agg(F.min("_source_file")).scalar())
     return schemas.schema_diff(schemas.merged_fields(first), schemas.merged_fields(by_file))
 
 
 def _clean_against_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = schemas.json_fields(events.json_lines(events.logs(spark, sf_dir)))
+    clean = _clean_fields(spark, sf_dir)
     dirty = schemas.json_fields(events.json_lines(events.dirty_logs(spark, sf_dir).drop("country")))
     return schemas.schema_diff(schemas.merged_fields(clean), schemas.merged_fields(dirty))
 
@@ -488,7 +505,7 @@ def late_arrivals(spark, sf_dir):
 def quarantine_append(spark, sf_dir):
     """A failed batch quarantined twice is there once."""
     path = _new_folder(spark, "quarantine")
-    batch = tables.scratch_table(keep_latest(_cleaned_dirty(spark, sf_dir)), "failed_batch")
+    batch = _stored_dirty(spark, sf_dir)
     for _ in range(2):
         tables.append_new_rows(batch, path, ("_source_file", "event_id", "_ingested_at"))
     return tables.read_appended(spark, path)

@@ -89,9 +89,13 @@ def read_appended(spark: SparkSession, path: str) -> DataFrame | None:
     return table
 
 
+def _types(schema: T.StructType) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in schema}
+
+
 def schema_change(spark: SparkSession, existing: T.StructType | None, incoming: T.StructType) -> str:
     """none, additive, widening or breaking; none when there is no table yet."""
-    if existing is None:
+    if existing is None or _types(existing) == _types(incoming):
         return "none"
     diff = schema_diff(fields(spark, existing), fields(spark, incoming))
     return classify(diff).first()["classification"]
