@@ -68,15 +68,24 @@ def profile(
     )
 
 
-def request_profile(logs: DataFrame, keys: Sequence[str], percents: Sequence[int]) -> DataFrame:
-    """Traffic, errors and latency of requests per group of ``keys``."""
-    counts = value_counts(
+def recount(counts: DataFrame, keys: Sequence[str], value: str, *sums: str) -> DataFrame:
+    """The same counts by fewer keys."""
+    return counts.groupBy(*keys, value).agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in sums))
+
+
+def latency_counts(logs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Requests and errors per (keys, latency)."""
+    return value_counts(
         logs,
         keys,
         "latency_ms",
         server_errors=F.col("is_server_error").cast("int"),
         client_errors=F.col("is_client_error").cast("int"),
     )
+
+
+def request_profile(counts: DataFrame, keys: Sequence[str], percents: Sequence[int]) -> DataFrame:
+    """Traffic, errors and latency of requests per group of ``keys``, from latency counts."""
     totals = profile(
         counts,
         keys,

@@ -61,21 +61,24 @@ def json_fields(lines: DataFrame) -> DataFrame:
     themselves. Repeats are counted before the shuffle, so one large file is no
     larger here than its number of fields.
     """
-    parsed = lines.select("_source_file", F.try_parse_json("value").alias("document"), "value")
-    good = parsed.where(F.col("document").isNotNull()).select("_source_file", "document")
-    entry = lines.sparkSession.tvf.variant_explode(F.col("document").outer())
-    entries = good.lateralJoin(entry).select(
-        "_source_file",
-        F.col("key").alias("field"),
-        F.regexp_replace(F.lower(F.schema_of_variant("value")), "^decimal.*", "double").alias("type"),
+    document = F.try_parse_json("value").alias("document")
+    parsed = lines.where(F.col("value").isNotNull()).select("_source_file", document)
+    entry = lines.sparkSession.tvf.variant_explode_outer(F.col("document").outer())
+    readable = F.col("document").isNotNull()
+    counts = (
+        parsed.lateralJoin(entry)
+        .where(~readable | F.col("key").isNotNull())
+        .groupBy(
+            "_source_file",
+            F.when(readable, F.col("key")).otherwise("_corrupt_record").alias("field"),
+            F.when(readable, F.schema_of_variant("value")).otherwise("STRING").alias("type"),
+        )
+        .agg(F.count("*").alias("n"))
     )
-    bad = parsed.where(F.col("document").isNull() & F.col("value").isNotNull()).select(
-        "_source_file", F.lit("_corrupt_record").alias("field"), F.lit("string").alias("type")
-    )
-    return (
-        entries.unionByName(bad)
-        .groupBy("_source_file", "field", "type")
-        .agg(F.count("*").alias("row_count"))
+    # The type names are tidied on the counts: decimals of any width are doubles to us.
+    plain = F.regexp_replace(F.lower("type"), "^decimal.*", "double")
+    return counts.groupBy("_source_file", "field", plain.alias("type")).agg(
+        F.sum("n").alias("row_count")
     )
 
 

@@ -20,7 +20,12 @@ from loglake.operators.cleaning import (
 )
 from loglake.operators.datatests import run_data_tests
 from loglake.operators.quality import check_batch
-from loglake.plans.marts import endpoint_rollup, fct_requests_daily, with_traffic_rank
+from loglake.plans.marts import (
+    daily_from_cube,
+    request_cube,
+    rollup_from_cube,
+    with_traffic_rank,
+)
 from loglake.plans.staging import stg_logs
 from loglake.sources.raw import (
     as_paths,
@@ -33,7 +38,11 @@ from loglake.sources.tables import (
     append_new_rows,
     append_with_evolution,
     apply_pending,
+    changed_days,
+    empty_partitions,
+    overwrite_partitions,
     read_appended,
+    read_if_exists,
     read_silver,
     schema_change,
     scratch_table,
@@ -185,26 +194,76 @@ def _watermark(silver: DataFrame | None) -> Column | None:
     return None if newest.micros is None else F.timestamp_micros(F.lit(newest.micros))
 
 
-def build_marts(spark: SparkSession, silver_path: str, marts_path: str) -> dict[str, DataFrame]:
-    """Refresh the marts; returns silver, staging and marts by name."""
+def build_marts(
+    spark: SparkSession, silver_path: str, marts_path: str, full: bool = False
+) -> dict[str, DataFrame]:
+    """Bring the marts up to date; returns silver, staging and marts by name.
+
+    Only the days that silver changed since the last build are read again (all of
+    them the first time, or with ``full``). A build that dies is repeated by the
+    next, for its days count as built only at the end.
+    """
     silver = read_silver(spark, silver_path)
     if silver is None:
         raise FileNotFoundError(f"no silver table at {silver_path}")
     logs = stg_logs(silver)
     logs.createOrReplaceTempView("stg_logs")
-    rollup = scratch_table(endpoint_rollup(logs), "endpoint_rollup")
+    changes = changed_days(spark, silver_path)
+    newest = 0 if changes is None else changes.agg(F.max("change").alias("newest")).first().newest
+    built = None if full or changes is None else _built_change(spark, marts_path)
+    if built is None or built < newest:
+        since = None if built is None else changes.where(F.col("change") > built)
+        _refresh_marts(spark, silver, marts_path, since)
+        marker = spark.range(1).select(F.lit(newest).alias("change"))
+        marker.coalesce(1).write.mode("append").json(f"{marts_path}/_built")
+    marts = ("fct_requests_daily", "dim_endpoints")
     return {
         "silver_events": silver,
         "stg_logs": logs,
-        "fct_requests_daily": write_table(
-            fct_requests_daily(logs).orderBy("event_date"), f"{marts_path}/fct_requests_daily"
-        ),
-        "dim_endpoints": write_table(with_traffic_rank(rollup), f"{marts_path}/dim_endpoints"),
+        **{name: read_mart(spark, marts_path, name) for name in marts},
     }
 
 
+def _built_change(spark: SparkSession, marts_path: str) -> int | None:
+    marker = T.StructType([T.StructField("change", T.LongType())])
+    built = read_if_exists(spark, f"{marts_path}/_built", marker, "json")
+    return None if built is None else built.agg(F.max("change").alias("last")).first()["last"]
+
+
+def _refresh_marts(
+    spark: SparkSession, silver: DataFrame, marts_path: str, changes: DataFrame | None
+) -> None:
+    cube_path, daily_path = f"{marts_path}/request_cube", f"{marts_path}/fct_requests_daily"
+    if changes is None:
+        logs = stg_logs(silver)
+        cube = write_table(request_cube(logs), cube_path, "event_day")
+        write_table(daily_from_cube(cube, logs), daily_path, "event_day")
+    else:
+        days = changes.select(F.col("ingest_date").alias("event_day")).distinct()
+        listed = [r.event_day for r in days.collect()]
+        logs = stg_logs(silver.where(_on_days("ingest_date", listed)))
+        schema = spark.read.parquet(cube_path).schema
+        overwrite_partitions(request_cube(logs), cube_path, ["event_day"])
+        # A day may have lost its last row to another day.
+        held = silver.where(_on_days("ingest_date", listed)).select("ingest_date").distinct()
+        gone = days.join(held, F.col("event_day").eqNullSafe(F.col("ingest_date")), "left_anti")
+        empty_partitions(cube_path, schema, gone)
+        cube = spark.read.schema(schema).parquet(cube_path).where(_on_days("event_day", listed))
+        schema = spark.read.parquet(daily_path).schema
+        overwrite_partitions(daily_from_cube(cube, logs), daily_path, ["event_day"])
+        empty_partitions(daily_path, schema, gone)
+    rollup = scratch_table(rollup_from_cube(spark.read.parquet(cube_path)), "endpoint_rollup")
+    write_table(with_traffic_rank(rollup), f"{marts_path}/dim_endpoints")
+
+
+def _on_days(column: str, days: list) -> Column:
+    """Predicate on a partition column; events without a time have a day of their own."""
+    known = F.col(column).isin([day for day in days if day is not None])
+    return (known | F.col(column).isNull()) if None in days else known
+
+
 def read_mart(spark: SparkSession, marts_path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{marts_path}/{name}")
+    return spark.read.parquet(f"{marts_path}/{name}").drop("event_day")
 
 
 def record_run(log_path: str, run: str, finished_at: datetime, silver: DataFrame) -> None:

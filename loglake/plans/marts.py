@@ -4,25 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from loglake.operators.percentiles import request_profile
+from loglake.operators.percentiles import latency_counts, recount, request_profile
 from loglake.operators.ranking import rank_by_count
 
+ERRORS = ("server_errors", "client_errors")
+
 
 def daily_unique_users(logs: DataFrame) -> DataFrame:
     """Exact distinct users per day; Spark first removes repeats per (day, user)."""
     return logs.groupBy("event_date").agg(F.count_distinct("user_id").alias("unique_users"))
 
 
-def fct_requests_daily(logs: DataFrame) -> DataFrame:
-    """One row per day.
-
-    Users and latencies are reduced apart: in one aggregation the latency buffers
-    would be kept, and shuffled, per (day, user).
-    """
-    daily = request_profile(logs, ["event_date"], [50, 95, 99]).alias("daily")
-    users = daily_unique_users(logs).alias("users")
+def daily_facts(counts: DataFrame, users: DataFrame) -> DataFrame:
+    """One row per day, from latency counts by day and the users of each day."""
+    daily = request_profile(counts, ["event_date"], [50, 95, 99]).alias("daily")
     same_day = F.col("daily.event_date").eqNullSafe(F.col("users.event_date"))
-    return daily.join(users, same_day).select(
+    return daily.join(users.alias("users"), same_day).select(
         "daily.event_date",
         "request_count",
         "unique_users",
@@ -36,9 +33,18 @@ def fct_requests_daily(logs: DataFrame) -> DataFrame:
     )
 
 
-def endpoint_rollup(logs: DataFrame) -> DataFrame:
-    """One row per (endpoint, method), not yet ranked."""
-    return request_profile(logs, ["endpoint", "method"], [95]).select(
+def fct_requests_daily(logs: DataFrame) -> DataFrame:
+    """One row per day.
+
+    Users and latencies are reduced apart: in one aggregation the latency buffers
+    would be kept, and shuffled, per (day, user).
+    """
+    return daily_facts(latency_counts(logs, ["event_date"]), daily_unique_users(logs))
+
+
+def endpoint_facts(counts: DataFrame) -> DataFrame:
+    """One row per (endpoint, method), not yet ranked, from latency counts by both."""
+    return request_profile(counts, ["endpoint", "method"], [95]).select(
         "endpoint",
         "method",
         "request_count",
@@ -49,6 +55,10 @@ def endpoint_rollup(logs: DataFrame) -> DataFrame:
     )
 
 
+def endpoint_rollup(logs: DataFrame) -> DataFrame:
+    return endpoint_facts(latency_counts(logs, ["endpoint", "method"]))
+
+
 def with_traffic_rank(rollup: DataFrame) -> DataFrame:
     return rank_by_count(rollup, "request_count", "traffic_rank").select(*rollup.columns, "traffic_rank")
 
@@ -60,3 +70,21 @@ def dim_endpoints(logs: DataFrame) -> DataFrame:
     rollup first and ranks the written rows (see ``jobs.build_marts``).
     """
     return with_traffic_rank(endpoint_rollup(logs))
+
+
+# Stored marts are kept up by day. The cube holds latency counts per day, endpoint
+# and method; both marts follow from it, except for the users of a day.
+
+
+def request_cube(logs: DataFrame) -> DataFrame:
+    cube = latency_counts(logs, ["event_date", "endpoint", "method"])
+    return cube.withColumn("event_day", F.to_date("event_date"))
+
+
+def daily_from_cube(cube: DataFrame, logs: DataFrame) -> DataFrame:
+    counts = recount(cube, ["event_date"], "latency_ms", *ERRORS)
+    return daily_facts(counts, daily_unique_users(logs)).withColumn("event_day", F.to_date("event_date"))
+
+
+def rollup_from_cube(cube: DataFrame) -> DataFrame:
+    return endpoint_facts(recount(cube, ["endpoint", "method"], "latency_ms", *ERRORS))

@@ -212,33 +212,73 @@ def apply_pending(spark: SparkSession, path: str) -> bool:
         return False
     kept = spark.read.schema(_STORED_SCHEMA).parquet(f"{folder}/kept")
     batch = spark.read.schema(SILVER_SCHEMA).parquet(f"{folder}/batch")
-    rows = kept.unionByName(batch.withColumn("_run", F.lit(row.run)))
-    (
-        rows.hint("rebalance", *_DIRECTORY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_DIRECTORY)
-        .parquet(path)
-    )
-    # A directory all of whose rows were replaced is not overwritten above; empty it.
+    overwrite_partitions(kept.unionByName(batch.withColumn("_run", F.lit(row.run))), path, _DIRECTORY)
     rewritten = spark.read.parquet(f"{folder}/rewritten")
     still_used = kept.select(_directory().alias("name")).distinct()
     emptied = rewritten.withColumn("name", _directory()).join(still_used, "name", "left_anti")
-    columns = [f for f in SILVER_SCHEMA if f.name != "ingest_date"]
-    nothing = spark.createDataFrame([], T.StructType(columns))
-    for r in emptied.collect():
-        day = "__HIVE_DEFAULT_PARTITION__" if r.ingest_date is None else r.ingest_date.isoformat()
-        nothing.write.mode("overwrite").parquet(f"{path}/ingest_date={day}/_run={r._run}")
+    empty_partitions(path, _STORED_SCHEMA, emptied.select(*_DIRECTORY))
+    _log_changed_days(
+        path, rewritten.select("ingest_date").unionByName(batch.select("ingest_date")).distinct()
+    )
     _mark(spark, path, "done", row.run)
     return True
 
 
+# Days whose rows an upsert changed, numbered by upsert, so that what is built on
+# silver need only read those. Logged once the rows are in place and before the
+# upsert counts as done: a day may be logged twice, but never missed.
+
+_CHANGES = T.StructType(
+    [T.StructField("ingest_date", T.DateType()), T.StructField("change", T.LongType())]
+)
+
+
+def changed_days(spark: SparkSession, path: str) -> DataFrame | None:
+    return read_if_exists(spark, f"{path}/_changes", _CHANGES)
+
+
+def _log_changed_days(path: str, days: DataFrame) -> None:
+    known = changed_days(days.sparkSession, path)
+    last = 0 if known is None else known.agg(F.max("change").alias("last")).first().last or 0
+    numbered = days.withColumn("change", F.lit(last + 1).cast("bigint"))
+    numbered.coalesce(1).write.mode("append").partitionBy("change").parquet(f"{path}/_changes")
+
+
+def overwrite_partitions(rows: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Replace the partitions that ``rows`` fall in and leave the others.
+
+    Rebalancing first gathers a partition's rows into few files, and Spark splits
+    a partition that is too large for one task.
+    """
+    (
+        rows.hint("rebalance", *by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+
+
+def empty_partitions(path: str, schema: T.StructType, partitions: DataFrame) -> None:
+    """Leave no rows in the given partitions, which no new row overwrites."""
+    by = partitions.columns
+    nothing = partitions.sparkSession.createDataFrame(
+        [], T.StructType([f for f in schema if f.name not in by])
+    )
+    for values in partitions.collect():
+        folder = "/".join(
+            f"{c}={'__HIVE_DEFAULT_PARTITION__' if values[c] is None else values[c]}" for c in by
+        )
+        nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
 # --- marts -------------------------------------------------------------------
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
+def write_table(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
     """Full refresh of a table from data outside it; returns the stored rows."""
-    df.write.mode("overwrite").parquet(path)
+    rows = df if by is None else df.hint("rebalance", by)
+    rows.write.mode("overwrite").partitionBy(*([by] if by else [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

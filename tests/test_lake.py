@@ -325,3 +325,44 @@ def test_absent_table_is_none_and_other_errors_show(spark, tmp_path):
         tables.read_if_exists(spark, f"{tmp_path}/none", fmt="no_such_format")
     with pytest.raises(FileNotFoundError):
         jobs.build_marts(spark, f"{tmp_path}/none", f"{tmp_path}/marts")
+
+
+def test_marts_are_kept_up_by_the_days_that_changed(lake, spark):
+    marts = f"{lake.root}/marts"
+
+    def check():
+        built = jobs.build_marts(spark, lake.silver, marts)
+        fresh = jobs.build_marts(spark, lake.silver, f"{lake.root}/fresh", full=True)
+        for name in ("fct_requests_daily", "dim_endpoints"):
+            assert built[name].exceptAll(fresh[name]).isEmpty()
+            assert fresh[name].exceptAll(built[name]).isEmpty()
+        return {str(r.event_date)[:10]: r.request_count for r in built["fct_requests_daily"].collect()}
+
+    def day(n):
+        return f"2024-01-{n}T10:00:00+00:00"
+
+    def files(table):
+        return set(spark.read.parquet(f"{marts}/{table}").inputFiles())
+
+    lake.put("a.jsonl", event(1, event_time=day(10)), *(event(i, event_time=day(11)) for i in range(2, 300)))
+    lake.ingest(T0)
+    lake.refine()
+    assert check() == {"2024-01-10": 1, "2024-01-11": 298}
+    before = files("request_cube")
+    assert check() and files("request_cube") == before
+
+    # the one event of the 10th moves to the 12th, and one without a time arrives
+    lake.put("b.jsonl", event(1, event_time=day(12)), event(900, event_time=None), *(
+        event(i, event_time=day(12), endpoint="/b", status_code=503) for i in range(300, 500)
+    ))
+    lake.ingest(T1)
+    lake.refine()
+    assert check() == {"2024-01-11": 298, "2024-01-12": 201, "None": 1}
+    kept = {f for f in before if "event_day=2024-01-11" in f}
+    assert kept and kept <= files("request_cube")
+
+    # and gets its time
+    lake.put("c.jsonl", event(900, event_time=day(13)))
+    lake.ingest(T2)
+    lake.refine()
+    assert check() == {"2024-01-11": 298, "2024-01-12": 201, "2024-01-13": 1}
