@@ -206,8 +206,7 @@ def build_marts(
     silver = read_silver(spark, silver_path)
     if silver is None:
         raise FileNotFoundError(f"no silver table at {silver_path}")
-    logs = stg_logs(silver)
-    logs.createOrReplaceTempView("stg_logs")
+    stg_logs(silver).createOrReplaceTempView("stg_logs")
     changes = changed_days(spark, silver_path)
     newest = 0 if changes is None else changes.agg(F.max("change").alias("newest")).first().newest
     built = None if full or changes is None else _built_change(spark, marts_path)
@@ -216,10 +215,16 @@ def build_marts(
         _refresh_marts(spark, silver, marts_path, since)
         marker = spark.range(1).select(F.lit(newest).alias("change"))
         marker.coalesce(1).write.mode("append").json(f"{marts_path}/_built")
+    return read_models(spark, silver_path, marts_path)
+
+
+def read_models(spark: SparkSession, silver_path: str, marts_path: str) -> dict[str, DataFrame]:
+    """Silver, staging and marts by name, as the data tests take them."""
+    silver = read_silver(spark, silver_path)
     marts = ("fct_requests_daily", "dim_endpoints")
     return {
         "silver_events": silver,
-        "stg_logs": logs,
+        "stg_logs": stg_logs(silver),
         **{name: read_mart(spark, marts_path, name) for name in marts},
     }
 
