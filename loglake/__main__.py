@@ -62,6 +62,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         metavar=("FROM", "UNTIL"),
         help="process this window of arrival times again, not what is new",
     )
+    silver.add_argument(
+        "--event-times-fixed",
+        action="store_true",
+        help="an event never comes again with another time: search its own day only",
+    )
     marts = step("marts", "bring the marts up to date", "silver", "marts")
     marts.add_argument("--full", action="store_true", help="read all days again")
     tests = step("test", "run the data tests", "silver", "marts")
@@ -101,6 +106,7 @@ def main(argv: list[str] | None = None) -> int:
                 args.null_rate_threshold,
                 args.max_latency_ms,
                 args.arrived and tuple(args.arrived),
+                args.event_times_fixed,
             )
         elif args.step == "marts":
             jobs.build_marts(spark, args.silver_path, args.marts_path, args.full)

@@ -40,6 +40,7 @@ from loglake.sources.tables import (
     apply_pending,
     changed_days,
     empty_partitions,
+    on_days,
     overwrite_partitions,
     read_appended,
     read_if_exists,
@@ -151,12 +152,14 @@ def bronze_to_silver(
     null_rate_threshold: float = NULL_RATE_THRESHOLD,
     max_latency_ms: int = MAX_LATENCY_MS,
     arrived: tuple[datetime, datetime] | None = None,
+    event_times_fixed: bool = False,
 ) -> SilverResult:
     """Clean what arrived since the watermark, gate it, and upsert or quarantine it.
 
     A batch that fails the gate goes whole into quarantine and raises; as the
     watermark stays, so do the rows behind it until someone mends the batch.
-    ``arrived`` names a window of arrival times to process again instead.
+    ``arrived`` names a window of arrival times to process again instead;
+    ``event_times_fixed`` is explained at ``upsert_silver``.
     """
     apply_pending(spark, silver_path)
     bronze = read_appended(spark, bronze_path)
@@ -181,7 +184,7 @@ def bronze_to_silver(
         raise QualityGateError(report, summary)
 
     result = SilverResult(found, batch.count())
-    upsert_silver(batch, silver_path)
+    upsert_silver(batch, silver_path, event_times_fixed)
     logger.info("%s", result)
     return result
 
@@ -246,14 +249,14 @@ def _refresh_marts(
     else:
         days = changes.select(F.col("ingest_date").alias("event_day")).distinct()
         listed = [r.event_day for r in days.collect()]
-        logs = stg_logs(silver.where(_on_days("ingest_date", listed)))
+        logs = stg_logs(silver.where(on_days("ingest_date", listed)))
         schema = spark.read.parquet(cube_path).schema
         overwrite_partitions(request_cube(logs), cube_path, ["event_day"])
         # A day may have lost its last row to another day.
-        held = silver.where(_on_days("ingest_date", listed)).select("ingest_date").distinct()
+        held = silver.where(on_days("ingest_date", listed)).select("ingest_date").distinct()
         gone = days.join(held, F.col("event_day").eqNullSafe(F.col("ingest_date")), "left_anti")
         empty_partitions(cube_path, schema, gone)
-        cube = spark.read.schema(schema).parquet(cube_path).where(_on_days("event_day", listed))
+        cube = spark.read.schema(schema).parquet(cube_path).where(on_days("event_day", listed))
         schema = spark.read.parquet(daily_path).schema
         overwrite_partitions(daily_from_cube(cube, logs), daily_path, ["event_day"])
         empty_partitions(daily_path, schema, gone)
@@ -261,12 +264,6 @@ def _refresh_marts(
     write_table(with_traffic_rank(rollup), f"{marts_path}/dim_endpoints")
 
 
-def _on_days(column: str, days: list) -> Column:
-    """Predicate on a partition column; events without a time have a day of their own."""
-    known = F.col(column).isin([day for day in days if day is not None])
-    return (known | F.col(column).isNull()) if None in days else known
-
-
 def read_mart(spark: SparkSession, marts_path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{marts_path}/{name}").drop("event_day")
 

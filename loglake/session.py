@@ -18,10 +18,15 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Settings results depend on: days are UTC days, and plans may adapt to skew."""
+    """Settings the lake relies on: days are UTC days, and plans adapt to skew.
+
+    Forcing the skew rule lets Spark split a hot join partition also where the step
+    after the join could have used the join's own partitioning.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 

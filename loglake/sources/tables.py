@@ -175,13 +175,24 @@ def _directory() -> Column:
     return F.concat_ws("|", day, "_run")
 
 
+def on_days(column: str, days: list) -> Column:
+    """Predicate on a partition column; events without a time have a day of their own."""
+    known = F.col(column).isin([day for day in days if day is not None])
+    return (known | F.col(column).isNull()) if None in days else known
+
+
 def _mark(spark: SparkSession, path: str, state: str, run: str) -> None:
     row = spark.range(1).select(F.lit(state).alias("state"), F.lit(run).alias("run"))
     row.coalesce(1).write.mode("overwrite").json(f"{staging_folder(spark, path)}/state")
 
 
-def upsert_silver(staged: DataFrame, path: str) -> None:
-    """Upsert a staged batch, one row per event id, into the table at ``path``."""
+def upsert_silver(staged: DataFrame, path: str, event_times_fixed: bool = False) -> None:
+    """Upsert a staged batch, one row per event id, into the table at ``path``.
+
+    An event may come again with another time, so rows to replace are looked for in
+    all days. Where producers never change the time of an event,
+    ``event_times_fixed`` keeps the search to the days of the batch.
+    """
     spark = staged.sparkSession
     folder = staging_folder(spark, path)
     stored = read_if_exists(spark, path, _STORED_SCHEMA)
@@ -190,6 +201,9 @@ def upsert_silver(staged: DataFrame, path: str) -> None:
     keys = staged.where(F.col("event_id").isNotNull()).select("event_id")
 
     # Which directories hold rows to be replaced: reads the ids of the table only.
+    if event_times_fixed:
+        days = [r.ingest_date for r in staged.select("ingest_date").distinct().collect()]
+        stored = stored.where(on_days("ingest_date", days))
     held = stored.select("event_id", *_DIRECTORY).join(keys, "event_id", "left_semi")
     held.select(*_DIRECTORY).distinct().write.mode("overwrite").parquet(f"{folder}/rewritten")
     rewritten = spark.read.parquet(f"{folder}/rewritten")
@@ -272,6 +286,13 @@ def empty_partitions(path: str, schema: T.StructType, partitions: DataFrame) ->
         nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
+def merge_into(staged: DataFrame, table: str) -> None:
+    """The upsert as one MERGE, for a catalog table whose format supports it."""
+    same_event = F.expr(f"{table}.event_id = batch.event_id")
+    merge = staged.alias("batch").mergeInto(table, same_event)
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 # --- marts -------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ import os
 
 import pytest
 from conftest import utc
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from loglake.contract import (
@@ -366,3 +367,20 @@ def test_marts_are_kept_up_by_the_days_that_changed(lake, spark):
     lake.ingest(T2)
     lake.refine()
     assert check() == {"2024-01-11": 298, "2024-01-12": 201, "2024-01-13": 1}
+
+
+def test_event_times_fixed_searches_the_days_of_the_batch(lake, monkeypatch):
+    days = [f"2024-01-1{d}T00:00:00+00:00" for d in range(3)]
+    lake.put("a.jsonl", *(event(i, event_time=t) for i, t in enumerate(days)))
+    lake.ingest(T0)
+    lake.refine(event_times_fixed=True)
+    lake.put("b.jsonl", event(1, event_time=days[1], latency_ms=500), event(5, event_time=days[2]))
+    lake.ingest(T1)
+    lake.refine(event_times_fixed=True)
+    assert lake.rows("event_id", "latency_ms") == [("e_0", 10), ("e_1", 500), ("e_2", 12), ("e_5", 15)]
+
+
+def test_merge_needs_a_table_that_supports_it(spark, silver_rows):
+    spark.sql("CREATE OR REPLACE TEMP VIEW no_merge AS SELECT 'e_0' AS event_id")
+    with pytest.raises(UnsupportedOperationException):
+        tables.merge_into(silver_rows({}).select("event_id"), "no_merge")
