@@ -8,7 +8,13 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from loglake.contract import MAX_LATENCY_MS, NO_RUN_TEXT, NULL_RATE_THRESHOLD, QualityGateError
+from loglake.contract import (
+    MAX_LATENCY_MS,
+    NO_RUN_TEXT,
+    NULL_RATE_THRESHOLD,
+    RAW_SCHEMA,
+    QualityGateError,
+)
 from loglake.operators.cleaning import (
     arrived_after,
     arrived_between,
@@ -75,10 +81,8 @@ class SilverResult:
     merged_rows: int
 
 
-def _json_union(existing: T.StructType | None, new: T.StructType) -> T.StructType:
+def _json_union(existing: T.StructType, new: T.StructType) -> T.StructType:
     """Schema of files of both kinds read together, as JSON inference would have it."""
-    if existing is None:
-        return new
     merged = {f.name: f.dataType for f in existing if f.name not in NOT_RAW}
     for field in new:
         known = merged.get(field.name, field.dataType)
@@ -94,6 +98,39 @@ def bronze_rows(raw: DataFrame, ingested_at: datetime | None = None) -> DataFram
     return rows.withColumn("_arrival_date", F.to_date("_ingested_at"))
 
 
+def new_files(spark: SparkSession, raw_path: str, bronze_path: str) -> tuple[list[str], list[str]]:
+    """Names of all files below ``raw_path``, and of those that bronze has no rows of."""
+    listed = list_files(spark, raw_path)
+    bronze = read_appended(spark, bronze_path)
+    if bronze is None or not listed:
+        return listed, listed
+    names = spark.createDataFrame([(name,) for name in listed], "_source_file string")
+    fresh = names.join(source_files(bronze), "_source_file", "left_anti")
+    return listed, [r._source_file for r in fresh.collect()]
+
+
+def incoming_schema(
+    spark: SparkSession, listed: list[str], fresh: list[str], bronze_path: str
+) -> T.StructType:
+    """Schema of the new files together with the known files still in the raw folder.
+
+    Only the new files are read; the bronze schema stands for the fields of the others.
+    """
+    existing = table_schema(spark, bronze_path)
+    if not fresh:
+        return RAW_SCHEMA if existing is None else _raw_part(existing)
+    paths = as_paths(fresh)
+    inferred = read_json_lines(spark, paths).schema
+    if existing is None or len(fresh) == len(listed):
+        return inferred
+    merged = _json_union(existing, inferred)
+    if schema_change(spark, _raw_part(existing), merged) == "breaking":
+        # A field that is null throughout the new files infers as string.
+        valued = read_json_lines(spark, paths, dropFieldIfAllNull=True).schema
+        merged = _json_union(existing, valued)
+    return merged
+
+
 def ingest_raw(
     spark: SparkSession,
     raw_path: str,
@@ -103,39 +140,21 @@ def ingest_raw(
 ) -> IngestResult:
     """Append the files not ingested before. Running it again does nothing.
 
-    Known files are left out by name before anything is read. The incoming schema
-    is that of the new files together with the known files still in ``raw_path``,
-    whose fields the bronze schema stands for; a given ``schema`` spares inference.
+    Known files are left out by name before anything is read. A given ``schema``
+    spares the pass over the new files that infers it.
     """
-    listed = list_files(spark, raw_path)
-    bronze = read_appended(spark, bronze_path)
-    new_files = listed
-    if bronze is not None and listed:
-        names = spark.createDataFrame([(name,) for name in listed], "_source_file string")
-        fresh = names.join(source_files(bronze), "_source_file", "left_anti")
-        new_files = [r._source_file for r in fresh.collect()]
-    if not new_files:
+    listed, fresh = new_files(spark, raw_path, bronze_path)
+    if not fresh:
         logger.info("files listed=%d, new=0: nothing to ingest", len(listed))
         return IngestResult(len(listed), 0, 0, "none")
-
-    paths = as_paths(new_files)
-    existing = table_schema(spark, bronze_path)
-    if schema is None:
-        schema = read_json_lines(spark, paths).schema
-        if len(new_files) < len(listed):
-            merged = _json_union(existing, schema)
-            if schema_change(spark, _raw_part(existing), merged) == "breaking":
-                # A field that is null throughout the new files infers as string.
-                valued = read_json_lines(spark, paths, dropFieldIfAllNull=True).schema
-                merged = _json_union(existing, valued)
-            schema = merged
-    raw = read_json_lines(spark, paths, schema)
+    schema = schema or incoming_schema(spark, listed, fresh, bronze_path)
+    raw = read_json_lines(spark, as_paths(fresh), schema)
     validate_required_columns(raw)
 
     observed = Observation()
     rows = bronze_rows(raw, ingested_at).observe(observed, F.count(F.lit(1)).alias("rows"))
     change = append_with_evolution(rows, bronze_path, BRONZE_PARTITIONS)
-    result = IngestResult(len(listed), len(new_files), observed.get["rows"], change)
+    result = IngestResult(len(listed), len(fresh), observed.get["rows"], change)
     logger.info("%s", result)
     return result
 

@@ -150,6 +150,7 @@ def append_new_rows(df: DataFrame, path: str, identity: Sequence[str]) -> None:
 
 _STORED_SCHEMA = T.StructType([*SILVER_SCHEMA.fields, T.StructField("_run", T.StringType())])
 _DIRECTORY = ("ingest_date", "_run")
+_DIRECTORY_SCHEMA = T.StructType([_STORED_SCHEMA[c] for c in _DIRECTORY])
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame | None:
@@ -206,7 +207,7 @@ def upsert_silver(staged: DataFrame, path: str, event_times_fixed: bool = False)
         stored = stored.where(on_days("ingest_date", days))
     held = stored.select("event_id", *_DIRECTORY).join(keys, "event_id", "left_semi")
     held.select(*_DIRECTORY).distinct().write.mode("overwrite").parquet(f"{folder}/rewritten")
-    rewritten = spark.read.parquet(f"{folder}/rewritten")
+    rewritten = spark.read.schema(_DIRECTORY_SCHEMA).parquet(f"{folder}/rewritten")
     names = [r.name for r in rewritten.select(_directory().alias("name")).collect()]
 
     # What stays in them. The predicate is on partition columns, so nothing else is read.
@@ -227,7 +228,7 @@ def apply_pending(spark: SparkSession, path: str) -> bool:
     kept = spark.read.schema(_STORED_SCHEMA).parquet(f"{folder}/kept")
     batch = spark.read.schema(SILVER_SCHEMA).parquet(f"{folder}/batch")
     overwrite_partitions(kept.unionByName(batch.withColumn("_run", F.lit(row.run))), path, _DIRECTORY)
-    rewritten = spark.read.parquet(f"{folder}/rewritten")
+    rewritten = spark.read.schema(_DIRECTORY_SCHEMA).parquet(f"{folder}/rewritten")
     still_used = kept.select(_directory().alias("name")).distinct()
     emptied = rewritten.withColumn("name", _directory()).join(still_used, "name", "left_anti")
     empty_partitions(path, _STORED_SCHEMA, emptied.select(*_DIRECTORY))

@@ -12,21 +12,34 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from loglake.contract import RAW_SCHEMA
 from loglake.operators.cleaning import source_files, without_known_files
-from loglake.plans.jobs import BRONZE_PARTITIONS, bronze_rows, bronze_to_silver
+from loglake.plans.jobs import (
+    BRONZE_PARTITIONS,
+    bronze_rows,
+    bronze_to_silver,
+    incoming_schema,
+    new_files,
+)
+from loglake.sources.raw import validate_required_columns
 from loglake.sources.tables import append_with_evolution, read_appended
 
 
 def raw_stream(
-    spark: SparkSession, raw_path: str, schema: T.StructType = RAW_SCHEMA, **options
+    spark: SparkSession,
+    raw_path: str,
+    bronze_path: str,
+    schema: T.StructType | None = None,
+    **options,
 ) -> DataFrame:
-    return (
-        spark.readStream.schema(schema)
-        .option("recursiveFileLookup", True)
-        .options(**options)
-        .json(raw_path)
-    )
+    """Raw files as a stream. The files there are when it starts set its schema,
+    unless one is given, so that fields bronze does not have yet come along."""
+    if schema is None:
+        listed, fresh = new_files(spark, raw_path, bronze_path)
+        schema = incoming_schema(spark, listed, fresh, bronze_path)
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True).options(**options)
+    stream = reader.json(raw_path)
+    validate_required_columns(stream)
+    return stream
 
 
 def append_bronze(batch: DataFrame, bronze_path: str) -> None:
@@ -43,10 +56,11 @@ def stream_to_bronze(
     bronze_path: str,
     checkpoint_path: str,
     ingested_at: datetime | None = None,
+    schema: T.StructType | None = None,
     **options,
 ) -> StreamingQuery:
     """Ingest all files the checkpoint has not seen, then stop."""
-    rows = bronze_rows(raw_stream(spark, raw_path, **options), ingested_at)
+    rows = bronze_rows(raw_stream(spark, raw_path, bronze_path, schema, **options), ingested_at)
     return (
         rows.writeStream.foreachBatch(lambda batch, _: append_bronze(batch, bronze_path))
         .option("checkpointLocation", checkpoint_path)
@@ -56,7 +70,12 @@ def stream_to_bronze(
 
 
 def stream_to_silver(
-    spark: SparkSession, raw_path: str, lake_path: str, checkpoint_path: str, **options
+    spark: SparkSession,
+    raw_path: str,
+    lake_path: str,
+    checkpoint_path: str,
+    schema: T.StructType | None = None,
+    **options,
 ) -> StreamingQuery:
     """Ingest and merge micro-batch by micro-batch.
 
@@ -74,7 +93,7 @@ def stream_to_silver(
         )
 
     return (
-        bronze_rows(raw_stream(spark, raw_path, **options))
+        bronze_rows(raw_stream(spark, raw_path, f"{lake_path}/bronze", schema, **options))
         .writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)

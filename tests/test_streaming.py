@@ -20,6 +20,19 @@ def raw(spark, tmp_path_factory):
     return path
 
 
+EVENT = {
+    "event_id": "e",
+    "event_time": "2024-01-01T00:00:00Z",
+    "endpoint": "/a",
+    "method": "GET",
+    "status_code": 200,
+    "latency_ms": 5,
+    "user_id": "u",
+    "country": "US",
+    "ingest_batch_id": "b",
+}
+
+
 def same(left, right):
     return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
 
@@ -51,8 +64,7 @@ def test_stream_to_silver_equals_batch(spark, sf_dir, raw, tmp_path):
 
 def test_failed_gate_stops_the_stream_and_holds_the_batch(spark, tmp_path):
     (tmp_path / "raw").mkdir()
-    bad = {"event_id": "e", "event_time": "2024-01-01T00:00:00Z", "status_code": 9999, "method": "GET"}
-    (tmp_path / "raw" / "a.jsonl").write_text(json.dumps(bad) + "\n")
+    (tmp_path / "raw" / "a.jsonl").write_text(json.dumps({**EVENT, "status_code": 9999}) + "\n")
     lake = f"{tmp_path}/lake"
     for _ in range(2):
         with pytest.raises(StreamingQueryException, match="status_code_range"):
@@ -60,3 +72,17 @@ def test_failed_gate_stops_the_stream_and_holds_the_batch(spark, tmp_path):
     assert tables.read_appended(spark, f"{lake}/quarantine").count() == 1
     assert tables.read_appended(spark, f"{lake}/bronze").count() == 1
     assert tables.read_silver(spark, f"{lake}/silver") is None
+
+
+def test_stream_takes_on_new_fields(spark, tmp_path):
+    raw, bronze, checkpoint = tmp_path / "raw", f"{tmp_path}/bronze", f"{tmp_path}/cp"
+    raw.mkdir()
+    (raw / "a.jsonl").write_text(json.dumps(EVENT) + "\n")
+    stream_to_bronze(spark, str(raw), bronze, checkpoint).awaitTermination()
+    (raw / "b.jsonl").write_text(json.dumps({**EVENT, "event_id": "f", "region": "eu", "latency_ms": 1.5}) + "\n")
+    stream_to_bronze(spark, str(raw), bronze, checkpoint).awaitTermination()
+    rows = tables.read_appended(spark, bronze).select("event_id", "region", "latency_ms").collect()
+    assert sorted(map(tuple, rows)) == [("e", None, 5.0), ("f", "eu", 1.5)]
+    # a stream that lost its checkpoint meets known files only
+    stream_to_bronze(spark, str(raw), bronze, f"{tmp_path}/new").awaitTermination()
+    assert tables.read_appended(spark, bronze).count() == 2
