@@ -110,6 +110,17 @@ def _stored_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SILVER_SCHEMA).parquet(_once(spark, sf_dir, "dirty", write))
 
 
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Silver after half of the batches, stored, and the rest as a staged batch."""
+    target, source = events.split_at_half(_numbered(spark, sf_dir))
+    paths = (
+        _once(spark, sf_dir, "target", lambda p: target.write.parquet(p)),
+        _once(spark, sf_dir, "source", lambda p: source.write.parquet(p)),
+    )
+    stored, staged = (spark.read.schema(SILVER_SCHEMA).parquet(p) for p in paths)
+    return stored, staged
+
+
 def _early_files(numbered: DataFrame) -> DataFrame:
     half = numbered.agg(F.max("arrival_no") / 2).scalar()
     return source_files(numbered.where(F.col("arrival_no") <= half))
@@ -166,7 +177,7 @@ def silver_watermark(spark, sf_dir):
 
 @_query
 def incremental_rows(spark, sf_dir):
-    target, _ = events.split_at_half(_numbered(spark, sf_dir))
+    target, _ = _halves(spark, sf_dir)
     return arrived_after(events.logs(spark, sf_dir), watermark(target).scalar())
 
 
@@ -178,18 +189,18 @@ def backfill_rows(spark, sf_dir):
 
 @_query
 def silver_upsert(spark, sf_dir):
-    return upsert(*events.split_at_half(_numbered(spark, sf_dir)))
+    return upsert(*_halves(spark, sf_dir))
 
 
 @_query
 def upsert_effects(spark, sf_dir):
-    return upsert_effect(*events.split_at_half(_numbered(spark, sf_dir)))
+    return upsert_effect(*_halves(spark, sf_dir))
 
 
 @_query
 def row_counts(spark, sf_dir):
     numbered = _numbered(spark, sf_dir)
-    target, source = events.split_at_half(numbered)
+    target, source = _halves(spark, sf_dir)
     new = without_known_files(numbered, _early_files(numbered))
     candidate = arrived_after(to_contract(numbered), watermark(target).scalar())
     return step_counts(numbered, new, candidate, source)
@@ -486,7 +497,7 @@ def evolving_append(spark, sf_dir):
 def widening_append(spark, sf_dir):
     """A latency that turns from whole numbers to fractions half-way."""
     path = _new_folder(spark, "widening")
-    early, late = events.split_at_half(_numbered(spark, sf_dir))
+    early, late = _halves(spark, sf_dir)
     tables.append_with_evolution(early.select("event_id", "latency_ms", "_ingested_at"), path)
     half_more = late.withColumn("latency_ms", F.col("latency_ms") + F.lit(0.5).cast("double"))
     tables.append_with_evolution(half_more.select("event_id", "latency_ms", "_ingested_at"), path)

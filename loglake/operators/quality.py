@@ -36,6 +36,7 @@ DETAIL_METHOD = "unknown methods=[%s]"
 DETAIL_METHOD_OK = "all methods known"
 DETAIL_LATENCY = "max_latency_ms=%d (limit %d)"
 DETAIL_DUPLICATES = "duplicate_event_ids=%d"
+LINE = "[%s] %s: %s"
 
 
 def bad_status() -> Column:
@@ -189,13 +190,17 @@ def gate_report(
     return stats.select(F.inline(applicable))
 
 
+def with_text(report: DataFrame) -> DataFrame:
+    """The report with each line as text."""
+    mark = F.when(F.col("passed"), "PASS").otherwise("FAIL")
+    return report.withColumn("text", F.format_string(LINE, mark, "name", "detail"))
+
+
 def report_summary(report: DataFrame) -> DataFrame:
     """One row: whether all rules passed, the failed ones, and the report as text."""
-    mark = F.when(F.col("passed"), "PASS").otherwise("FAIL")
-    text = F.concat(F.lit("["), mark, F.lit("] "), "name", F.lit(": "), "detail")
-    entries = F.array_sort(F.collect_list(F.struct("position", "name", "passed", text.alias("text"))))
+    entries = F.array_sort(F.collect_list(F.struct("position", "name", "passed", "text")))
     failed = F.filter(entries, lambda e: ~e["passed"])
-    return report.agg(
+    return with_text(report).agg(
         F.bool_and("passed").alias("passed"),
         F.array_join(F.transform(failed, lambda e: e["name"]), ",").alias("failures"),
         F.array_join(F.transform(entries, lambda e: e["text"]), "\n").alias("summary"),
@@ -204,9 +209,9 @@ def report_summary(report: DataFrame) -> DataFrame:
 
 def check_batch(df: DataFrame, ids_are_unique: bool = False, **limits) -> tuple[bool, list[Row], str]:
     """Run the gate: (passed, report rows, text)."""
-    report = gate_report(batch_stats(df, ids_are_unique), **limits).orderBy("position").collect()
-    text = "\n".join(f"[{'PASS' if r.passed else 'FAIL'}] {r.name}: {r.detail}" for r in report)
-    return all(r.passed for r in report), report, text
+    report = gate_report(batch_stats(df, ids_are_unique), **limits)
+    rows = with_text(report).orderBy("position").collect()  # ten at most
+    return all(r.passed for r in rows), rows, "\n".join(r.text for r in rows)
 
 
 def broken_rules(df: DataFrame, max_latency_ms: int = MAX_LATENCY_MS) -> DataFrame:

@@ -37,7 +37,7 @@ from loglake.sources.raw import (
     as_paths,
     list_files,
     read_json_lines,
-    validate_required_columns,
+    require_event_columns,
     with_provenance,
 )
 from loglake.sources.tables import (
@@ -149,7 +149,7 @@ def ingest_raw(
         return IngestResult(len(listed), 0, 0, "none")
     schema = schema or incoming_schema(spark, listed, fresh, bronze_path)
     raw = read_json_lines(spark, as_paths(fresh), schema)
-    validate_required_columns(raw)
+    require_event_columns(raw)
 
     observed = Observation()
     rows = bronze_rows(raw, ingested_at).observe(observed, F.count(F.lit(1)).alias("rows"))

@@ -46,10 +46,11 @@ def with_provenance(df: DataFrame, ingested_at: datetime | None = None) -> DataF
     )
 
 
-def validate_required_columns(df: DataFrame) -> None:
-    missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]
-    if missing:
-        raise MissingColumnsError(f"raw batch is missing required columns: {missing}")
+def require_event_columns(raw: DataFrame) -> None:
+    """Stop before reading on when no file of the batch has a field all events have."""
+    absent = set(REQUIRED_COLUMNS).difference(raw.columns)
+    if absent:
+        raise MissingColumnsError("fields absent from the raw batch: " + ", ".join(sorted(absent)))
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:

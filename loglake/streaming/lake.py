@@ -20,7 +20,7 @@ from loglake.plans.jobs import (
     incoming_schema,
     new_files,
 )
-from loglake.sources.raw import validate_required_columns
+from loglake.sources.raw import require_event_columns
 from loglake.sources.tables import append_with_evolution, read_appended
 
 
@@ -38,7 +38,7 @@ def raw_stream(
         schema = incoming_schema(spark, listed, fresh, bronze_path)
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True).options(**options)
     stream = reader.json(raw_path)
-    validate_required_columns(stream)
+    require_event_columns(stream)
     return stream
 
 
