@@ -544,9 +544,14 @@ UNION ALL SELECT event_id, latency_ms + 0.5::DOUBLE, _ingested_at FROM source"""
     "lake_daily_facts": _TWO_RUN_MODELS + "SELECT * FROM fct",
     "lake_endpoints": _TWO_RUN_MODELS + "SELECT * FROM dim",
     "lake_run_log": _TWO_RUNS
-    + """SELECT 'second run' AS run, TIMESTAMP '2024-01-31 00:00:00' AS finished_at,
-       count(*) AS silver_rows
-FROM lake""",
+    + """SELECT run, TIMESTAMP '2024-01-31 00:00:00' AS finished_at, silver_rows
+FROM (
+    SELECT 'first run' AS run, count(DISTINCT event_id) AS silver_rows, max(event_time) AS newest
+    FROM numbered WHERE arrival_no <= (SELECT max(arrival_no) / 2.0 FROM numbered)
+    UNION ALL
+    SELECT 'second run', count(*), max(event_time) FROM lake
+)
+WHERE TIMESTAMP '2024-01-31 00:00:00' - newest <= INTERVAL 2 HOURS""",
     "stream_ingest": _LOGS
     + "SELECT * EXCLUDE (_source_file) REPLACE (TIMESTAMP '2024-02-01 00:00:00' AS _ingested_at) FROM logs",
     "stream_silver": _SILVER + "SELECT * EXCLUDE (_source_file, _ingested_at) FROM silver",

@@ -551,7 +551,7 @@ def lake_endpoints(spark, sf_dir):
 
 @_query
 def lake_run_log(spark, sf_dir):
-    """The first run ends on stale data, so only the second one is marked."""
+    """A run that ends on data too old for the freshness test is not marked."""
     return tables.read_appended(spark, f"{_lake_of_two_runs(spark, sf_dir)}/run_log")
 
 
