@@ -13,7 +13,7 @@ _spec = importlib.util.spec_from_file_location("spark_entry", f"{ROOT}/__spark_e
 entry_points = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(entry_points)
 
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = entry_points.QUERIES, entry_points.ORACLE_SQL
 SQL_TYPES = {
     "BIGINT": "bigint",
     "INTEGER": "int",
@@ -51,8 +51,8 @@ def duck():
     return connection
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+def test_every_query_of_the_catalogue_has_sql():
+    assert set(entry_points.QUERIES) == set(entry_points.ORACLE_SQL)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
