@@ -9,17 +9,14 @@ false ones. A longer list lets more URLs through to that join; the verdicts stay
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglake.llm.bloom import BLOCKS, bloom_table, maybe_in
 from loglake.llm.keys import lower_ascii
 
-#: 2**16 blocks of 512 bits: 4.7 MB at most.
-BLOCKS = 1 << 16
-WORDS = 8
 #: Query parameters that say where a visitor came from.
 TRACKING = r"^(utm_[A-Za-z0-9_]*|ref|fbclid|gclid)(=|$)"
 
@@ -85,23 +82,6 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return first(lambda r: r.text), first(lambda r: r.verdict)
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-
-def _bits(key: Column) -> list[Column]:
-    """One bit of each word of the block, by six bits each of a second hash."""
-    h = F.xxhash64(key, F.lit(1))
-    one = F.lit(1).cast("long")
-    return [F.call_function("shiftleft", one, F.shiftright(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(WORDS)]
-
-
-def bloom_table(listed: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
-    """The filter: at most `blocks` rows (block, w0..w7), made by one small aggregation."""
-    words = [F.bit_or(bit).alias(f"_w{i}") for i, bit in enumerate(_bits(F.col(key)))]
-    return listed.groupBy(_block(F.col(key), blocks).alias("_block")).agg(*words)
-
-
 def filter_urls(
     pages: DataFrame,
     listed: DataFrame,
@@ -124,14 +104,7 @@ def filter_urls(
     judged = pages.withColumn(
         "_url", F.struct(host.alias("host"), path.alias("path"), rule.alias("rule"), verdict.alias("verdict"))
     ).withColumn("_key", F.when(F.col("_url.rule").isNull(), canonical_url(F.col(url_column))))
-    bits = _bits(F.col("_key"))
-    present = reduce(
-        lambda a, b: a & b, (F.col(f"_w{i}").bitwiseAND(bit) == bit for i, bit in enumerate(bits))
-    )
-    seen = judged.withColumn("_block", _block(F.col("_key"), blocks)).join(
-        F.broadcast(bloom_table(entries, "_listed", blocks)), "_block", "left"
-    )
-    seen = seen.withColumn("_maybe", F.coalesce(present & F.col("_key").isNotNull(), F.lit(False)))
+    seen = maybe_in(judged, "_key", bloom_table(entries, "_listed", blocks), blocks)
     clear = seen.where(~F.col("_maybe")).withColumn("_listed", F.lit(None).cast("string"))
     checked = seen.where("_maybe").join(entries, F.col("_key") == F.col("_listed"), "left")
     columns = [F.col(f"`{c}`") for c in pages.columns]
