@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import decontamination, fingerprints, near_dedup, secrets, url_filter
+from loglake.llm import decontamination, fingerprints, near_dedup, secrets, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -188,3 +188,19 @@ FROM word_lists LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (do
 
 QUERIES["op4_benchmark_decontamination"] = op4_benchmark_decontamination
 ORACLE_SQL["op4_benchmark_decontamination"] = OP4_SQL
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, by a model of the labels that may teach."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("_toxicity").alias("score"),
+        (F.col("_toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+QUERIES["op7_toxicity"] = op7_toxicity
