@@ -72,8 +72,10 @@ def fingerprint(text: Column, k: int = K, window: int = WINDOW) -> Column:
 
 
 def hashes(packed: Column) -> Column:
-    """The distinct hashes of a fingerprint."""
-    return F.array_distinct(F.transform(packed, lambda p: F.shiftrightunsigned(p, PLACE_BITS)))
+    """The distinct hashes of a fingerprint, as signed ints."""
+    return F.array_distinct(
+        F.transform(packed, lambda p: (F.shiftrightunsigned(p, PLACE_BITS) - F.lit(1 << 31)).cast("int"))
+    )
 
 
 def fingerprint_text(packed: Column) -> Column:
@@ -139,21 +141,23 @@ def compare_edited(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFra
 
     Texts are shuffled once by key, and once more the part that goes into another text.
     """
-    keyed = with_key(docs).withColumn("_size", F.length("text"))
-    plan = neighbours(keyed)
-    marked = keyed.withColumn("fingerprint", fingerprint(F.col("text"), k, window))
+    # Both sides of the second join read one shuffle of (key, text): what else they need is
+    # made behind it.
+    keyed = with_key(docs).select(*KEY, "text")
+    plan = neighbours(keyed.withColumn("_size", F.length("text")))
     copy = Window.partitionBy(*KEY).orderBy(F.lit(0))
-    rows = marked.join(plan, KEY).withColumn("_copy", F.row_number().over(copy))
+    rows = keyed.join(plan, KEY).withColumn("_copy", F.row_number().over(copy))
     given = rows.where("_copy = 1").select(
         F.substring(F.col("text"), F.lit(1), F.floor(F.col("_to_size") / 2).cast("int")).alias("_head"),
-        hashes(F.col("fingerprint")).alias("_next"),
+        hashes(fingerprint(F.col("text"), k, window)).alias("_next"),
         *(F.col(f"_to{c}").alias(c) for c in KEY),
     )
+    rows = rows.withColumn("_size", F.length("text")).withColumn("fingerprint", fingerprint(F.col("text"), k, window))
     half = F.floor(F.col("_size") / 2).cast("int")
     own = hashes(F.col("fingerprint"))
     last_copy = F.col("_copy") == F.col("_copies")
     both = rows.join(given, KEY).select(
-        "doc_id",
+        F.when(~F.col("_no_id"), F.col("_id")).alias("doc_id"),
         F.col("_size").cast("long").alias("n_chars"),
         "fingerprint",
         F.concat(
