@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import decontamination, fingerprints, near_dedup, secrets, toxicity, url_filter
+from loglake.llm import decontamination, fingerprints, near_dedup, packing, secrets, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -204,3 +204,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_toxicity"] = op7_toxicity
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of token ids in sequences of 1024."""
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+QUERIES["op3_best_fit_packing"] = op3_best_fit_packing

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 
 from loglake.llm import numeric
 
@@ -78,11 +79,9 @@ def piece_starts(points: np.ndarray, kinds: np.ndarray, bounds: np.ndarray) -> n
 class PieceEncoder:
     """Ids of the texts of a batch."""
 
-    def __init__(self, ranks_path: str) -> None:
-        import tiktoken
-
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    def __init__(self, ranks: bytes) -> None:
+        """`ranks`: lines of a token in base64 and its id."""
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.encode = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.classes, self.hash = _Classes(), numeric.SpanHash()
         self._forget()
