@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import decontamination, fingerprints, near_dedup, packing, secrets, toxicity, url_filter
+from loglake.llm import decontamination, fingerprints, html_text, licenses, near_dedup, packing, secrets, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -213,3 +213,21 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_best_fit_packing"] = op3_best_fit_packing
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    found = html_text.extract_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+
+
+QUERIES["op6_html_extraction"] = op6_html_extraction
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("differences", F.array_join("differences", "; "))
+
+
+QUERIES["op5_license_scan"] = op5_license_scan
