@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +47,36 @@ def maybe_in(df: DataFrame, key: str, bloom: DataFrame, blocks: int = BLOCKS) ->
     probed = df.withColumn("_block", _block(F.col(key), blocks)).join(F.broadcast(bloom), "_block", "left")
     hit = F.coalesce(present & F.col(key).isNotNull(), F.lit(False))
     return probed.withColumn("_maybe", hit).drop("_block", *(f"_w{i}" for i in range(WORDS)))
+
+
+#: Probes of a bitmap; each takes other bits of the key.
+SHIFTS = (0, 20, 39)
+
+
+def bitmap(keys: DataFrame, key: str, bits: int) -> np.ndarray:
+    """A Bloom filter of a column of hashes for use in Python, of 2**bits bits whatever their number.
+
+    One row per 64-bit word that has bits comes to the driver, so a bounded number of them.
+    """
+    places = F.array(
+        *(F.shiftrightunsigned(F.col(key), s).bitwiseAND(F.lit((1 << bits) - 1)) for s in SHIFTS)
+    )
+    one = F.lit(1).cast("long")
+    words = (
+        keys.select(F.explode(places).alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.call_function("shiftleft", one, F.col("bit").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+    )
+    found = words.toPandas()
+    made = np.zeros(1 << (bits - 6), np.int64)
+    made[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return made.view(np.uint8)
+
+
+def in_bitmap(values: np.ndarray, made: np.ndarray) -> np.ndarray:
+    """False where a hash is surely not among those of the bitmap."""
+    last, hit = np.uint64(len(made) * 8 - 1), np.ones(len(values), bool)
+    for shift in SHIFTS:
+        bit = (values >> np.uint64(shift)) & last
+        hit &= (made[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return hit

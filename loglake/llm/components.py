@@ -27,7 +27,7 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node with a link: root is the smallest node it reaches.
 
     `links` has columns a and b of one ordered type, in either direction, repeats and loops
-    allowed; nodes with loops only are roots of themselves and left out. Every step is stored,
+    allowed; nodes that have loops only are left out. Every step is stored,
     so a lost executor costs one step at most; only a count and a checksum come to the driver.
     """
     ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -37,6 +37,7 @@ def components(links: DataFrame) -> DataFrame:
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.max("a")
         ).first()
         if state == before:
-            return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            roots = current.select(F.col("b").alias("a"), "b").distinct()
+            return current.unionByName(roots).select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state
         current = scratch_table(_small_star(_large_star(current)), "links")

@@ -22,15 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm import numeric
+from loglake.llm.bloom import bitmap, in_bitmap
 from loglake.llm.keys import KEY, with_key
 from loglake.sources.tables import scratch_table
 
 LENGTH = 10
 #: Words of a gram; windows have LENGTH - K + 1 grams.
 K = 5
-#: Bits of the bitmap: 1 MB, three bits per fingerprint.
+#: Bits of the bitmap of test fingerprints: 1 MB.
 BITMAP_BITS = 23
-PROBES = 3
 BETWEEN_WORDS = ((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 HIT = "at int, size int, h1 long, h2 long"
 
@@ -48,11 +48,6 @@ def _windows(words: tuple[np.ndarray, np.ndarray], size: int, length: int) -> tu
     return prints, h1, h2
 
 
-def _bits(prints: np.ndarray) -> Iterator[np.ndarray]:
-    for i in range(PROBES):
-        yield (prints >> np.uint64(i * 20 % 41)) & np.uint64((1 << BITMAP_BITS) - 1)
-
-
 class _Words:
     """Words of stretches of rows: their bounds by row, and two hashes of each."""
 
@@ -92,7 +87,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
                 )
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], length: int, sizes: list[int], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _candidates(batches: Iterator[pa.RecordBatch], length: int, sizes: list[int], made: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Each document's number of words, and its windows whose fingerprint is in the bitmap."""
     split = _Words()
     for batch in batches:
@@ -100,10 +95,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], length: int, sizes: list[int]
             found = []
             for size in sizes:
                 prints, h1, h2 = _windows(words, size, length)
-                hit = _inside(at, size, len(h1))
-                for bits in _bits(prints):
-                    hit &= (bitmap[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                place = np.flatnonzero(hit)
+                place = np.flatnonzero(_inside(at, size, len(h1)) & in_bitmap(prints, made))
                 found.append((place, np.full(len(place), size), h1[place].view(np.int64), h2[place].view(np.int64)))
             place, size, h1, h2 = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 4
             row = np.searchsorted(at, place, "right") - 1
@@ -118,24 +110,6 @@ def _candidates(batches: Iterator[pa.RecordBatch], length: int, sizes: list[int]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(at), pa.int64()), hits], names=["doc_id", *KEY, "n_words", "hits"])
 
 
-def _bitmap(prints: DataFrame) -> np.ndarray:
-    """A bitmap of all fingerprints; a row per 64-bit word that has bits, so of bounded size."""
-    word_bits = F.transform(
-        F.array(*(F.lit(i * 20 % 41) for i in range(PROBES))),
-        lambda s: F.call_function("shiftrightunsigned", F.col("print"), s).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)),
-    )
-    one = F.lit(1).cast("long")
-    words = (
-        prints.select(F.explode(word_bits).alias("bit"))
-        .groupBy(F.shiftright("bit", 6).alias("word"))
-        .agg(F.bit_or(F.call_function("shiftleft", one, F.col("bit").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
-    )
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    for row in words.toLocalIterator():
-        bitmap[row["word"]] = row["bits"]
-    return bitmap.view(np.uint8)
-
-
 def find_contamination(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per document: doc_id, its key, n_words, n_hit, items and `spans`.
 
@@ -154,10 +128,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, length: int = LENG
         "item-windows",
     )
     sizes = [r["size"] for r in windows.select("size").distinct().orderBy("size").collect()]
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(windows.select("print")))
+    made = docs.sparkSession.sparkContext.broadcast(bitmap(windows, "print", BITMAP_BITS))
 
     def scan(batches):
-        return _candidates(batches, length, sizes, bitmap.value)
+        return _candidates(batches, length, sizes, made.value)
 
     scanned = scratch_table(
         with_key(docs).mapInArrow(scan, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _no_id boolean, _id long, _text_hash long, n_words long, hits array<struct<{HIT.replace(' ', ':').replace(',:', ',')}>>"),

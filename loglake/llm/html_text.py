@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loglake.llm.keys import plain
+
 #: Fixed values of HTML: elements without content, with text that is not markup, that start a
 #: new block, and what ends an open element of another kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -261,7 +263,8 @@ def extract_text(pages: DataFrame, html_column: str = "html") -> DataFrame:
     """The pages with a column `_text`, the main text of the whole html; missing html is empty.
 
     Character references are decoded, white space inside a block is one space, blocks are
-    joined in page order by one space. All columns stay as they are, repeated rows too.
+    joined in page order by one space. Plain columns stay as they are (see keys.plain), repeated
+    rows too.
     """
     run = F.pandas_udf(_extract, "string")
-    return pages.withColumn("_text", run(F.coalesce(F.col(html_column), F.lit(""))))
+    return plain(pages).withColumn("_text", run(F.coalesce(F.col(html_column), F.lit(""))))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from loglake.llm import numeric
 from loglake.llm.bloom import bloom_table, maybe_in
 from loglake.llm.components import components
-from loglake.llm.keys import KEY, with_key
+from loglake.llm.keys import KEY, add_key, plain, with_key
 from loglake.sources.tables import scratch_table
 
 #: 40 bands of 6 minima: sets with a similarity of 0.85 share no band once in 10**8 times,
@@ -248,7 +248,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, all columns, with one of each component left, and one of repeated rows.
+    """The documents, plain columns, with one of each component left, and one of repeated rows.
 
     Documents without words all stay. Only rows that a Bloom filter of what goes may hold
     are shuffled.
@@ -258,11 +258,8 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
         F.first("keeper").alias("_keeper"), F.count("*").alias("_copies"), F.first("n_shingles").alias("_n")
     )
     acted = scratch_table(by_key.where("_n > 0 AND (NOT _keeper OR _copies > 1)").drop("_copies", "_n"), "near-decisions")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumns(
-        {"_no_id": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_text_hash": F.xxhash64(text)}
-    )
+    columns = [F.col(f"`{c}`") for c in plain(docs).columns]
+    keyed = add_key(docs)
     probed = maybe_in(keyed, "_text_hash", bloom_table(acted, "_text_hash"))
     decided = probed.where("_maybe").join(acted, KEY, "left")
     copy = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.lit(0)))

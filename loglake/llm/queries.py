@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import decontamination, fingerprints, html_text, licenses, near_dedup, packing, secrets, toxicity, url_filter
+from loglake.llm import decontamination, fingerprints, html_text, licenses, line_dedup, near_dedup, packing, secrets, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -231,3 +231,12 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_license_scan"] = op5_license_scan
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that repeat an earlier one."""
+    cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", F.col("_gone").alias("n_gone"), F.col("_text").alias("text"))
+
+
+QUERIES["op1_line_dedup"] = op1_line_dedup

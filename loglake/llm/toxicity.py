@@ -25,6 +25,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglake.llm.keys import plain
+
 HELD_OUT = 2
 THRESHOLD = 0.3
 #: Bytes after which a window ends with its word.
@@ -213,8 +215,8 @@ def _scorer(model: ToxicityModel):
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
     """The documents with a column `_toxicity`, 0 to 1; a missing text counts as empty.
 
-    All columns stay as they are, repeated rows too.
+    Plain columns stay as they are (see keys.plain), repeated rows too.
     """
 
     run = F.pandas_udf(_scorer(model), "double")
-    return docs.withColumn("_toxicity", run(F.coalesce(F.col(text_column), F.lit(""))))
+    return plain(docs).withColumn("_toxicity", run(F.coalesce(F.col(text_column), F.lit(""))))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm.bloom import BLOCKS, bloom_table, maybe_in
-from loglake.llm.keys import lower_ascii
+from loglake.llm.keys import lower_ascii, plain
 
 #: Query parameters that say where a visitor came from.
 TRACKING = r"^(utm_[A-Za-z0-9_]*|ref|fbclid|gclid)(=|$)"
@@ -94,8 +94,9 @@ def filter_urls(
 
     A rule decides where one fits; other pages are blocked if their canonical URL is that of
     a listed one. A missing URL, or one without `://`, is allowed, and so is everything by an
-    empty list. Columns of the pages stay as they are, repeated rows too.
+    empty list. Plain columns stay as they are (see keys.plain), repeated rows too.
     """
+    pages = plain(pages)
     host, path, _ = url_parts(F.col(url_column))
     rule, verdict = rule_of(host, path, rules)
     entries = (
