@@ -29,8 +29,8 @@ from loglake.llm.keys import plain
 
 HELD_OUT = 2
 THRESHOLD = 0.3
-#: Bytes after which a window ends with its word.
-WINDOW = 64
+#: Bytes after which a window ends with its word; a text is cut in each of these ways.
+WINDOWS = (40, 64)
 LEVEL = 3
 #: Labelled documents that teach, at most, of each label: those with the smallest hash of their id.
 TOXIC_ROWS = 6000
@@ -43,15 +43,14 @@ MARKS = 2000
 EVIDENCE = 22.0
 ORDINARY_SHARE = 0.03
 SAVED = (1, 2, 3, 4, 5, 6, 8)
-_CUT = re.compile(rb"\S[\s\S]{0,%d}\S*" % (WINDOW - 2))
+_CUTS = {size: re.compile(rb"\S[\s\S]{0,%d}\S*" % (size - 2)) for size in WINDOWS}
 
 
-def windows(text: str) -> list[bytes]:
-    """The text, lower-cased, in stretches of whole words; the last may reach back."""
-    data = text.lower().encode()
-    found = _CUT.findall(data)
-    if len(found) > 1 and len(found[-1]) < WINDOW // 2:
-        tail = data.rstrip()[-WINDOW:]
+def windows(data: bytes, size: int) -> list[bytes]:
+    """Lower-cased text in stretches of whole words; the last may reach back."""
+    found = _CUTS[size].findall(data)
+    if len(found) > 1 and len(found[-1]) < size // 2:
+        tail = data.rstrip()[-size:]
         found[-1] = tail[max(tail.find(b" "), 0) :]
     return [b" %b " % w for w in found]
 
@@ -88,9 +87,12 @@ class ToxicityModel:
 
     def features(self, text: str) -> list[float]:
         ordinary, toxic = (c.compress for c in self.compressors)
-        saved = np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(text)] or [0])
-        over = np.array([(saved >= s).sum() for s in SAVED])
-        return [1.0, *np.log1p(over), *(over / len(saved)), float(min(max(saved.max(), -4), 24)) / 8, float(np.log(len(saved)))]
+        data, features = text.lower().encode(), [1.0]
+        for size in WINDOWS:
+            saved = np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(data, size)] or [0])
+            over = np.array([(saved >= s).sum() for s in SAVED])
+            features += [*np.log1p(over), *(over / len(saved)), float(min(max(saved.max(), -4), 24)) / 8]
+        return [*features, float(np.log1p(len(data)))]
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(features @ np.array(self.weights), -30, 30)))
@@ -164,7 +166,7 @@ def _marks(words: DataFrame) -> list[str]:
 
 def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [windows(t) for t in batch.column("text").to_pylist()]
+        rows = [windows(t.lower().encode(), WINDOWS[-1]) for t in batch.column("text").to_pylist()]
         picked = [w for ws in rows for w in ws[:: max(1, -(-len(ws) // WINDOWS_EACH))]]
         yield pa.RecordBatch.from_arrays([pa.array(picked, pa.binary())], names=["window"])
 
@@ -199,7 +201,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     measured = rows.select("toxic", "text").mapInArrow(measure, f"toxic {kind}, features array<double>").collect()
     y = np.array([r["toxic"] for r in measured], float)
     if not 0 < y.sum() < len(y):
-        return ToxicityModel(model.ordinary, model.toxic, (-30.0, *[0.0] * (len(SAVED) * 2 + 2)))
+        return ToxicityModel(model.ordinary, model.toxic, (-30.0, *[0.0] * (len(model.features("")) - 1)))
     return ToxicityModel(model.ordinary, model.toxic, _fit_curve(np.array([r["features"] for r in measured]), y))
 
 
