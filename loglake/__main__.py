@@ -89,6 +89,13 @@ def _passed(results: DataFrame) -> bool:
     return all(r.status != "error" for r in rows)
 
 
+def _print_rows(rows: DataFrame) -> None:
+    """All rows as tab-separated text under their names, a partition at a time."""
+    print(*rows.columns, sep="\t")
+    for row in rows.toLocalIterator():
+        print(*("" if value is None else value for value in row), sep="\t")
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
@@ -116,7 +123,7 @@ def main(argv: list[str] | None = None) -> int:
             return 0 if _passed(results) else 1
         elif args.step == "panel":
             mart, select = PANELS[args.name]
-            select(jobs.read_mart(spark, args.marts_path, mart)).show(1000, truncate=False)
+            _print_rows(select(jobs.read_mart(spark, args.marts_path, mart)))
         elif args.step == "run":
             results = jobs.run_all(spark, args.raw_path, args.lake_path, args.as_of or now, now.isoformat())
             return 0 if _passed(results) else 1
@@ -126,7 +133,7 @@ def main(argv: list[str] | None = None) -> int:
             stream_to_silver(spark, args.raw_path, args.lake_path, args.checkpoint_path).awaitTermination()
         elif args.step == "drift":
             history = field_history(json_fields(read_lines(spark, args.raw_path)))
-            history.orderBy("first_file", "field").show(1000, truncate=False)
+            _print_rows(history.orderBy("first_file", "field"))
     except (MissingColumnsError, QualityGateError, SchemaEvolutionError) as error:
         logging.error("%s stopped: %s", args.step, error)
         return 1

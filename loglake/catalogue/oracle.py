@@ -541,6 +541,8 @@ UNION ALL SELECT event_id, latency_ms + 0.5::DOUBLE, _ingested_at FROM source"""
     "late_arrivals": _LATE,
     "quarantine_append": _DIRTY_LATEST + "SELECT * FROM batch",
     "lake_silver": _TWO_RUNS + "SELECT * EXCLUDE (_source_file) FROM lake",
+    "backfill_then_increment": _TWO_RUNS + "SELECT * EXCLUDE (_source_file) FROM lake",
+    "backfill_older_window": _TWO_RUNS + "SELECT * EXCLUDE (_source_file) FROM lake",
     "lake_daily_facts": _TWO_RUN_MODELS + "SELECT * FROM fct",
     "lake_endpoints": _TWO_RUN_MODELS + "SELECT * FROM dim",
     "lake_run_log": _TWO_RUNS

@@ -20,6 +20,27 @@ def upsert(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataF
     return without_keys(target, source, key).unionByName(source, allowMissingColumns=True)
 
 
+def not_set_back(source: DataFrame, target: DataFrame, key: str = "event_id") -> DataFrame:
+    """Source rows for an upsert that may bring old arrivals again.
+
+    Left out are rows of which the target holds a newer version (by arrival, batch and
+    file), and rows without a key from files and arrivals whose rows without a key the
+    target holds: such rows come together, so those of one arrival are all there.
+    """
+    version = ("_ingested_at", "ingest_batch_id", "_source_file")
+    held = target.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.struct(*version).alias("_version")
+    )
+    newer = (F.col(key) == F.col("_key")) & (F.col("_version") > F.struct(*version))
+    keyed = source.where(F.col(key).isNotNull()).join(held, newer, "left_anti")
+    arrivals = target.where(F.col(key).isNull()).select(
+        F.col("_source_file").alias("_file"), F.col("_ingested_at").alias("_at")
+    )
+    same = F.col("_source_file").eqNullSafe(F.col("_file")) & F.col("_ingested_at").eqNullSafe(F.col("_at"))
+    without_key = source.where(F.col(key).isNull()).join(arrivals.distinct(), same, "left_anti")
+    return keyed.unionByName(without_key)
+
+
 def upsert_effect(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataFrame:
     """How many source rows an upsert inserts and how many it updates.
 

@@ -26,6 +26,7 @@ from loglake.operators.cleaning import (
 )
 from loglake.operators.datatests import run_data_tests
 from loglake.operators.quality import check_batch
+from loglake.operators.upsert import not_set_back
 from loglake.plans.marts import (
     daily_from_cube,
     request_cube,
@@ -41,6 +42,7 @@ from loglake.sources.raw import (
     with_provenance,
 )
 from loglake.sources.tables import (
+    NOTHING_MERGED,
     append_new_rows,
     append_with_evolution,
     apply_pending,
@@ -54,6 +56,8 @@ from loglake.sources.tables import (
     schema_change,
     scratch_table,
     stage_batch,
+    store_watermark,
+    stored_watermark,
     table_schema,
     upsert_silver,
     write_table,
@@ -177,7 +181,9 @@ def bronze_to_silver(
 
     A batch that fails the gate goes whole into quarantine and raises; as the
     watermark stays, so do the rows behind it until someone mends the batch.
-    ``arrived`` names a window of arrival times to process again instead;
+    ``arrived`` names a window of arrival times to process instead, which leaves the
+    watermark where it is: arrivals passed over are still to come, and rows of the
+    window that come again change nothing. A row never replaces a newer one.
     ``event_times_fixed`` is explained at ``upsert_silver``.
     """
     apply_pending(spark, silver_path)
@@ -185,8 +191,11 @@ def bronze_to_silver(
     silver = read_silver(spark, silver_path)
     if bronze is None:
         return SilverResult(0, 0)
+    newest = _watermark(silver)
+    stored = stored_watermark(spark, silver_path)
+    merged_until = newest if stored is None else stored
     if arrived is None:
-        candidates = arrived_after(bronze, _watermark(silver))
+        candidates = arrived_after(bronze, _timestamp(merged_until))
     else:
         candidates = arrived_between(bronze, *(F.lit(t).cast("timestamp") for t in arrived))
     found = candidates.count()
@@ -194,7 +203,10 @@ def bronze_to_silver(
         logger.info("nothing new since the last run")
         return SilverResult(0, 0)
 
-    batch = stage_batch(keep_latest(to_contract(clean_and_type(candidates))), silver_path)
+    # Only after a window was named can silver hold newer rows than those that come.
+    again = silver is not None and newest is not None and (arrived is not None or newest != merged_until)
+    fresh = keep_latest(to_contract(clean_and_type(candidates)))
+    batch = stage_batch(fresh, silver_path, "arrived" if again else "batch")
     limits = {"null_rate_threshold": null_rate_threshold, "max_latency_ms": max_latency_ms}
     passed, report, summary = check_batch(batch, ids_are_unique=True, **limits)
     logger.info("quality report:\n%s", summary)
@@ -202,18 +214,29 @@ def bronze_to_silver(
         append_new_rows(batch, quarantine_path, ("_source_file", "event_id", "_ingested_at"))
         raise QualityGateError(report, summary)
 
+    if again:
+        batch = stage_batch(not_set_back(batch, silver), silver_path)
+    if arrived is not None and stored is None:
+        store_watermark(spark, silver_path, merged_until)
     result = SilverResult(found, batch.count())
-    upsert_silver(batch, silver_path, event_times_fixed)
+    if result.merged_rows:
+        upsert_silver(batch, silver_path, event_times_fixed)
+    if arrived is None and stored is not None:
+        store_watermark(spark, silver_path, _watermark(candidates))
     logger.info("%s", result)
     return result
 
 
-def _watermark(silver: DataFrame | None) -> Column | None:
-    """Newest arrival in silver as a literal, exact to the microsecond in any time zone."""
-    if silver is None:
+def _watermark(rows: DataFrame | None) -> int | None:
+    """Newest arrival among the rows, in microseconds."""
+    if rows is None:
         return None
-    newest = watermark(silver).select(F.unix_micros("watermark").alias("micros")).first()
-    return None if newest.micros is None else F.timestamp_micros(F.lit(newest.micros))
+    return watermark(rows).select(F.unix_micros("watermark").alias("micros")).first().micros
+
+
+def _timestamp(micros: int | None) -> Column | None:
+    """A literal exact to the microsecond in any time zone."""
+    return None if micros in (None, NOTHING_MERGED) else F.timestamp_micros(F.lit(micros))
 
 
 def build_marts(

@@ -163,10 +163,13 @@ def staging_folder(spark: SparkSession, path: str) -> str:
     return f"{shared_folder(spark)}/loglake-staging/{name}"
 
 
-def stage_batch(batch: DataFrame, path: str) -> DataFrame:
-    """Write the cleaned batch once; the gate and the upsert read it from there."""
+def stage_batch(batch: DataFrame, path: str, name: str = "batch") -> DataFrame:
+    """Write the cleaned batch once; the gate and the upsert read it from there.
+
+    The upsert brings in what is staged under the name ``batch``.
+    """
     spark = batch.sparkSession
-    folder = f"{staging_folder(spark, path)}/batch"
+    folder = f"{staging_folder(spark, path)}/{name}"
     batch.write.mode("overwrite").parquet(folder)
     return spark.read.schema(SILVER_SCHEMA).parquet(folder)
 
@@ -239,6 +242,25 @@ def apply_pending(spark: SparkSession, path: str) -> bool:
     return True
 
 
+# The newest arrival up to which all were merged. Needed once a window of arrivals was
+# processed out of order; until then it is the newest arrival in the table. It only
+# grows, so the largest entry holds.
+
+_MERGED = T.StructType([T.StructField("micros", T.LongType())])
+NOTHING_MERGED = -(2**62)
+
+
+def stored_watermark(spark: SparkSession, path: str) -> int | None:
+    """Microseconds, if a watermark was stored; before all arrivals if nothing was merged."""
+    log = read_if_exists(spark, f"{path}/_merged", _MERGED, "json")
+    return None if log is None else log.agg(F.max("micros").alias("m")).first().m
+
+
+def store_watermark(spark: SparkSession, path: str, micros: int | None) -> None:
+    row = spark.range(1).select(F.lit(NOTHING_MERGED if micros is None else micros).alias("micros"))
+    row.coalesce(1).write.mode("append").json(f"{path}/_merged")
+
+
 # Days whose rows an upsert changed, numbered by upsert, so that what is built on
 # silver need only read those. Logged once the rows are in place and before the
 # upsert counts as done: a day may be logged twice, but never missed.

@@ -245,6 +245,37 @@ def test_backfill_of_a_window_changes_nothing_that_is_right(lake):
     assert lake.rows("event_id", "latency_ms", "_ingested_at") == before
 
 
+def test_older_window_sets_no_row_back_and_repeats_none(lake):
+    def held():
+        rows = tables.read_silver(lake.spark, lake.silver).select("event_id", "latency_ms", "_source_file").collect()
+        return sorted(map(str, rows))
+
+    lake.put("a.jsonl", event(1, latency_ms=1), event(0, event_id=None), event(0, event_id=None), *(event(i) for i in range(200, 400)))
+    lake.ingest(T0)
+    lake.refine()
+    lake.put("b.jsonl", event(1, latency_ms=2), event(8))
+    lake.ingest(T1)
+    lake.refine()
+    before = held()
+    lake.refine(arrived=(T0, T1))
+    assert held() == before and len(before) == 204
+    assert [r.latency_ms for r in tables.read_silver(lake.spark, lake.silver).where("event_id = 'e_1'").collect()] == [2]
+
+
+def test_arrivals_passed_over_by_a_window_still_come(lake):
+    for n, at in enumerate((T0, T1, T2)):
+        lake.put(f"{n}.jsonl", event(n), event(9, latency_ms=n + 1))
+        lake.ingest(at)
+    lake.refine(arrived=(T2, utc("2024-02-01T00:31:00")))
+    assert lake.rows("event_id", "latency_ms") == [("e_2", 12), ("e_9", 3)]
+    assert lake.refine().candidate_rows == 6
+    assert lake.rows("event_id", "latency_ms") == [("e_0", 10), ("e_1", 11), ("e_2", 12), ("e_9", 3)]
+    assert lake.refine().candidate_rows == 0
+    lake.put("3.jsonl", event(3))
+    lake.ingest(utc("2024-02-01T00:45:00"))
+    assert lake.refine().candidate_rows == 1
+
+
 def test_run_that_died_while_writing_silver_is_finished_by_the_next(lake, monkeypatch):
     lake.put("a.jsonl", *(event(i) for i in range(5)))
     lake.ingest(T0)
