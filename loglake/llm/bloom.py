@@ -67,9 +67,9 @@ def bitmap(keys: DataFrame, key: str, bits: int) -> np.ndarray:
         .groupBy(F.shiftright("bit", 6).alias("word"))
         .agg(F.bit_or(F.call_function("shiftleft", one, F.col("bit").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
     )
-    found = words.toPandas()
+    found = words.toArrow()
     made = np.zeros(1 << (bits - 6), np.int64)
-    made[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    made[found["word"].to_numpy()] = found["bits"].to_numpy()
     return made.view(np.uint8)
 
 
