@@ -133,6 +133,23 @@ def test_lines_equal_those_of_all_pairs(docs_of, spark, sf_dir):
     assert found[len(texts) - 1] == "short" and len(gone) > 10
 
 
+def test_pairs_within_a_template_are_found(docs_of):
+    """Lines of one template just under the threshold, in pairs above it: most buckets of a pair
+    are the template's, whose ends are like neither."""
+    rng = random.Random(5)
+    letters = [chr(c) for c in range(0x61, 0x7B)]
+
+    def some(count):
+        return "".join(rng.choices(letters, k=count))
+
+    template = some(181)
+    lines = [template + pair + some(18) for pair in (some(8) for _ in range(60)) for _ in range(2)]
+    expected = classes([line_set(x) for x in lines], PERCENT)
+    assert expected == [i - i % 2 for i in range(120)]
+    found = {r.doc_id: r._gone for r in dedup_lines(docs_of(*lines)).collect()}
+    assert [found[i] for i in range(120)] == [i % 2 for i in range(120)]
+
+
 def test_odd_rows_and_lines(odd_docs, no_docs):
     found = dedup_lines(odd_docs)
     assert found.columns == [*odd_docs.columns, "_text", "_gone"]
