@@ -150,6 +150,13 @@ def test_pairs_within_a_template_are_found(docs_of):
     assert [found[i] for i in range(120)] == [i % 2 for i in range(120)]
 
 
+def test_a_line_of_ordinary_length_with_a_small_edit_links(docs_of):
+    lines = [f"Copyright {year} Example Works, some rights reserved" for year in (2021, 2022)]
+    assert [len(x) for x in lines] == [50, 50]
+    found = {r.doc_id: r._text for r in dedup_lines(docs_of(*lines)).collect()}
+    assert found == {0: lines[0], 1: ""}
+
+
 def test_odd_rows_and_lines(odd_docs, no_docs):
     found = dedup_lines(odd_docs)
     assert found.columns == [*odd_docs.columns, "_text", "_gone"]
