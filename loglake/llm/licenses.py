@@ -4,7 +4,9 @@ Texts with a cue (a word that license notices use) are cut into blocks around th
 Each block is compressed alone and with every template as raw zstandard dictionary: the
 template that saves most explains the block best. Templates are tried in order of what they
 save, and the first whose wording is really there, word by word but for few differences, is
-reported with its place and the differences. What is left of the block is tried again, cue by cue.
+reported with its place and the differences. If the differences touch what names a license or
+its version, it is another one: when no template fits, that is reported as an unknown variant.
+What is left of the block is tried again, cue by cue.
 
 Only texts with a cue leave the scan; nothing is shuffled.
 """
@@ -92,10 +94,31 @@ REACH = 600
 #: Share of a template's words that must be there, in order; words of it that may be missing, changed or added.
 COVERAGE = 0.85
 LEVEL = 19
+#: License of a notice that is worded like a template but names something else.
+UNKNOWN = "unknown variant"
+#: Words that name a license: a template's own must be there, others may not come in.
+NAMES = frozenset(
+    "affero apache artistic attribution attribution-noncommercial attribution-noncommercial-noderivatives "
+    "attribution-noncommercial-sharealike attribution-noderivatives attribution-sharealike boost bsd by by-nc by-nc-nd by-nc-sa "
+    "by-nd by-sa cc cc0 cddl commons creative eclipse eupl european general gnu isc lesser library mit mozilla mpl public "
+    "unencumbered universal".split()
+)
+#: What narrows or widens a license when it is added to its name.
+QUALIFIERS = NAMES - frozenset("by cc commons creative general public universal".split()) | frozenset(
+    "alike commercial derivatives derivs no-derivatives no-derivs noderivatives noderivs non non-commercial noncommercial nc nd sa "
+    "share share-alike sharealike".split()
+)
+_VERSION = re.compile(r"v?(\d{1,2}(?:\.\d+)*?)(?:\.0)*(-clause)?")
 _WORD = re.compile(r"\w+(?:[.\-]\w+)*")
 FOUND = "license string, template int, start long, end long, saved int, coverage double, differences array<string>"
 
 
+def _spelled(word: str) -> str:
+    """One spelling of a version: 2, 2.0 and v2.0 are the same."""
+    version = _VERSION.fullmatch(word)
+    return version[1] + (version[2] or "") if version else word
+
+
 class _Scanner:
     def __init__(self, templates: Sequence[Template]) -> None:
         self.templates = templates
@@ -137,7 +160,8 @@ class _Scanner:
     def confirm(self, words: list[tuple[str, int, int]], template: int) -> tuple[int, int, float, list[str]] | None:
         """First and last word, share of the template's words, and differences; None if too many."""
         wanted = self.words[template]
-        matcher = difflib.SequenceMatcher(None, [w for w, _, _ in words], wanted, autojunk=False)
+        spelled, template_spelled = [_spelled(w) for w, _, _ in words], [_spelled(w) for w in wanted]
+        matcher = difflib.SequenceMatcher(None, spelled, template_spelled, autojunk=False)
         longest = matcher.find_longest_match()
         if not longest.size:
             return None
@@ -145,7 +169,7 @@ class _Scanner:
         slack = max(2, len(wanted) // 4)
         low = max(0, longest.a - longest.b - slack)
         high = min(len(words), longest.a - longest.b + len(wanted) + slack)
-        matcher = difflib.SequenceMatcher(None, [w for w, _, _ in words[low:high]], wanted, autojunk=False)
+        matcher = difflib.SequenceMatcher(None, spelled[low:high], template_spelled, autojunk=False)
         same = [m for m in matcher.get_matching_blocks() if m.size]
         coverage = sum(m.size for m in same) / len(wanted)
         first, last = low + same[0].a, low + same[-1].a + same[-1].size
@@ -159,6 +183,18 @@ class _Scanner:
             return None
         return first, last - 1, coverage, differences
 
+    def names_another(self, template: int, differences: Sequence[str]) -> bool:
+        """Whether the differences touch the name, clauses or version of a template's license."""
+        own = {_spelled(w) for w in self.words[template]}
+        for difference in differences:
+            words = difference.split(" ")
+            gone, come = ({_spelled(w[1:]) for w in words if w[0] == sign} for sign in "-+")
+            if any(w in NAMES or _VERSION.fullmatch(w) for w in gone - come):
+                return True
+            if any(w in QUALIFIERS or _VERSION.fullmatch(w) for w in come - own):
+                return True
+        return False
+
     def scan(self, text: str) -> list[tuple]:
         found = []
         todo = self.blocks(text)[::-1]
@@ -169,21 +205,26 @@ class _Scanner:
             if not cue:
                 continue
             words = [(m[0].lower(), start + m.start(), start + m.end()) for m in _WORD.finditer(block)]
+            best = None
             for saved, template in self.ranked(block, cue):
                 there = self.confirm(words, template)
-                if there:
-                    first, last, coverage, differences = there
-                    a, b = words[first][1], words[last][2]
-                    found.append((self.templates[template].license, template, a, b, saved, coverage, differences))
-                    todo += [(b, end), (start, a)]
+                if there and not self.names_another(template, there[3]):
+                    best = (self.templates[template].license, template, saved, there)
                     break
+                if there and not best:
+                    best = (UNKNOWN, template, saved, there)
+            if best:
+                license_, template, saved, (first, last, coverage, differences) = best
+                a, b = words[first][1], words[last][2]
+                found.append((license_, template, a, b, saved, coverage, differences))
+                todo += [(b, end), (start, a)]
             else:
                 todo.append((start + cue.end(), end))
         return sorted(found, key=lambda f: (f[2], f[3]))
 
 
 def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
-    """A row per notice found: doc_id, license, template (number), start and end (code points,
+    """A row per notice found: doc_id, license (or UNKNOWN), template (number), start and end (code points,
     end exclusive), saved (bytes), coverage (share of its words), differences (`-` words of the
     template that are not there, `+` others in their place).
 

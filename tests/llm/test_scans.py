@@ -151,6 +151,27 @@ def test_notices_with_changed_wording(docs_of, odd_docs, no_docs):
     assert scan_licenses(odd_docs).count() == 0 and scan_licenses(no_docs).count() == 0
 
 
+def test_another_name_or_version_is_another_license():
+    scanner = licenses._Scanner(TEMPLATES)
+    public = "This work is licensed under {}."
+    commons = public.format("a Creative Commons {} International License")
+    expected = {
+        "Licensed under the Mozilla Public License, Version 2.0.": licenses.UNKNOWN,
+        "Licensed under the Eclipse Public License, Version 2.0.": licenses.UNKNOWN,
+        "Licensed under the Apache License, Version 1.1.": licenses.UNKNOWN,
+        "Licensed under the Apache License, Version 2.": "Apache-2.0",
+        commons.format("Attribution-NonCommercial-NoDerivatives 4.0"): licenses.UNKNOWN,
+        commons.format("Attribution Non-Commercial 4.0"): licenses.UNKNOWN,
+        commons.format("Attribution 3.0"): licenses.UNKNOWN,
+        commons.format("Attribution 4.0"): "CC-BY-4.0",
+        public.format("the GNU Lesser General Public License, version 2.1"): licenses.UNKNOWN,
+        public.format("the GNU Lesser General Public License, version 3"): "LGPL-3.0",
+        public.format("the GNU General Public License, version 3.0"): "GPL-3.0",
+        public.format("the GNU General Public License, version 1"): licenses.UNKNOWN,
+    }
+    assert {text: [f[0] for f in scanner.scan(text)] for text in expected} == {text: [name] for text, name in expected.items()}
+
+
 def test_every_template_is_found_in_itself():
     scanner = licenses._Scanner(TEMPLATES)
     for template in TEMPLATES:
