@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import decontamination, fingerprints, html_text, licenses, line_dedup, near_dedup, packing, secrets, toxicity, url_filter
+from loglake.llm import bpe, collocations, decontamination, fingerprints, html_text, licenses, line_dedup, near_dedup, packing, runs, secrets, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -240,3 +240,148 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_line_dedup"] = op1_line_dedup
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def looped_text(doc_id: Column, text: Column) -> Column:
+    """The texts of op12: of each tenth document the words from some place on repeat themselves."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def looped(x: Column) -> Column:
+        size = F.size(x["words"])
+        at = F.struct(x["words"].alias("words"), (x["g"] % size).alias("a"), (x["g"] % 8 + 3).alias("parts"), size.alias("n"))
+        return _let(at, lambda y: _let(F.struct(y["words"].alias("words"), y["a"].alias("a"), F.floor(F.lit(1) + (y["n"] - y["a"]) / y["parts"]).alias("p")), loop))
+
+    def loop(z: Column) -> Column:
+        place = lambda i: (z["a"] + (i - z["a"]) % z["p"] + 1).cast("int")
+        return F.array_join(F.transform(z["words"], lambda w, i: F.when(i < z["a"], w).otherwise(F.element_at(z["words"], place(i)))), " ")
+
+    some = _let(F.struct(words.alias("words"), F.floor(h / 10).alias("g")), looped)
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), some).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in all documents, the longest of each, and the texts without what they repeat."""
+    docs = _table(spark, sf_dir, "documents")
+    found = runs.collapse_runs(docs.select("doc_id", looped_text(F.col("doc_id"), F.col("text")).alias("text")))
+    longest = F.array_max(F.transform("_runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("_runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("_longest", longest).select(
+        "doc_id",
+        F.size("_runs").cast("long").alias("n_runs"),
+        (-F.col("_longest.start")).alias("start"),
+        F.col("_longest.length").alias("length"),
+        (-F.col("_longest.period")).alias("period"),
+        F.floor(1000 * F.col("_longest.length") / -F.col("_longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("_collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+OP12_SQL = r"""
+WITH hashed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS o,
+         xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+             lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+               lambda x, i: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))) AS h
+  FROM documents
+), looped AS (
+  SELECT doc_id, o, len(o) AS n, h % 10 = 0 AND len(o) > 0 AS loops, CASE WHEN len(o) > 0 THEN (h // 10) % len(o) END AS a, h // 10 AS g FROM hashed
+), texts AS (
+  SELECT doc_id, CASE WHEN loops THEN list_transform(range(0, n), lambda i: o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+                 ELSE o END AS w
+  FROM looped
+), grams AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 5], ' ') AS s FROM (SELECT doc_id, w, unnest(range(0, len(w) - 4)) AS i FROM texts)
+), alike AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i
+), stretches AS (
+  SELECT doc_id, q AS period, min(i) AS start, count(*) + 4 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM alike)
+  GROUP BY doc_id, q, island
+), found AS (
+  SELECT doc_id, start, length, min(period) AS period FROM stretches WHERE length >= greatest(6, 4 * period) GROUP BY doc_id, start, length
+), counted AS (
+  SELECT doc_id, count(*) AS n_runs, max((length, -start, -period)) AS best,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed
+  FROM found GROUP BY doc_id
+), dropped AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM found
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM texts) ANTI JOIN dropped USING (doc_id, i)
+  GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -best[2] AS start, best[1] AS length, -best[3] AS period,
+       1000 * best[1] // -best[3] AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM texts LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+QUERIES["op12_periodic_runs"] = op12_periodic_runs
+ORACLE_SQL["op12_periodic_runs"] = OP12_SQL
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by the multilingual byte-level vocabulary, and what they decode to."""
+    encoded = bpe.encode_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digests = encoded.select(
+        "doc_id",
+        F.size("_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        "_ids",
+    )
+    return bpe.decode_ids(digests).select("doc_id", "n_tokens", "ids_sha256", F.sha2("_bytes", 256).alias("decoded_sha256"))
+
+
+QUERIES["op13_byte_bpe"] = op13_byte_bpe
+
+
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of each language in all documents."""
+    found = collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"), top=2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+OP11_SQL = r"""
+WITH split AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM split
+), grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4)) AS s(size))
+  GROUP BY ALL
+), frequent AS (
+  SELECT * FROM grams WHERE f >= 30
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM frequent WHERE size > 1
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:size], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, min((2000000::HUGEINT * c.a // (x.f + y.f), k, x.f, y.f)) AS best
+  FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = c.head JOIN frequent y ON y.lang = c.lang AND y.phrase = c.rest
+  GROUP BY ALL
+), inner_phrases AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, a AS longer
+  FROM (SELECT *, unnest(range(1, size - m + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS m FROM candidates WHERE size > 2))
+), covered AS (
+  SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN inner_phrases i ON i.lang = c.lang AND i.phrase = c.phrase WHERE 100 * longer >= 80 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY best[1] DESC, a DESC, phrase) AS rank
+  FROM scored ANTI JOIN covered USING (lang, phrase)
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE size = 1 GROUP BY lang
+)
+SELECT lang, rank, phrase, a, best[3] AS l, best[4] AS r, n, best[1]::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+QUERIES["op11_collocations"] = op11_collocations
+ORACLE_SQL["op11_collocations"] = OP11_SQL
