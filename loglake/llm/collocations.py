@@ -13,7 +13,7 @@ frequent ones, which may let others pass. These are then counted for nothing, no
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from typing import NamedTuple
 
@@ -39,7 +39,9 @@ TILE = 1 << 9
 PLACES_A_PAIR = 16
 BITMAP_BITS = 25
 #: Bytes of text whose pairs are counted together; a longer text comes alone.
-CORPUS = 1 << 23
+CORPUS = 1 << 22
+#: Rows of counts in a batch that leaves a task.
+BATCH = 1 << 16
 #: Parts in which the best of a language are chosen before they meet.
 PARTS = 64
 #: Bytes that end a piece, and those between words.
@@ -132,13 +134,19 @@ def _rows(languages: pa.Array, phrases: pa.Array, counts: np.ndarray) -> pa.Reco
     return pa.RecordBatch.from_arrays([languages, phrases, pa.array(counts.astype(np.int64))], names=["lang", "phrase", "f"])
 
 
+def _in_batches(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in found:
+        for first in range(0, rows.num_rows, BATCH):
+            yield rows.slice(first, BATCH)
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of words by language; the empty phrase stands for all words."""
     for words in _corpora(batches):
         several = len(words.names)
         found, counts = np.unique(words.language * np.int64(several) + words.code, return_counts=True)
         language = found // max(several, 1)
-        yield _rows(words.languages.take(pa.array(language)), words.names.take(pa.array(found % max(several, 1))), counts)
+        yield from _in_batches([_rows(words.languages.take(pa.array(language)), words.names.take(pa.array(found % max(several, 1))), counts)])
         total = np.bincount(language, counts, len(words.languages)).astype(np.int64)
         yield _rows(words.languages, pa.repeat("", len(total)), total)
 
@@ -282,7 +290,7 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST
         def count_pairs(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             counter = _PairCounter(known.value)
             for words in _corpora(batches):
-                yield from counter(words)
+                yield from _in_batches(counter(words))
 
         levels.append(summed(texts.mapInArrow(count_pairs, schema), size + 1))
     return levels
