@@ -39,7 +39,7 @@ TILE = 1 << 9
 PLACES_A_PAIR = 16
 BITMAP_BITS = 25
 #: Bytes of text whose pairs are counted together; a longer text comes alone.
-CORPUS = 1 << 22
+CORPUS = 1 << 21
 #: Rows of counts in a batch that leaves a task.
 BATCH = 1 << 16
 #: Parts in which the best of a language are chosen before they meet.
@@ -123,6 +123,7 @@ def _corpora(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
             if held >= CORPUS or end == batch.num_rows:
                 yield cutter.words(parts, coded.dictionary, rows)
                 parts, rows, held = [], [], 0
+                pa.default_memory_pool().release_unused()
 
 
 def gram_hash(words: np.ndarray, size: int) -> np.ndarray:
