@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -45,28 +45,31 @@ class Vocabulary:
         if missing:
             raise ValueError(f"bytes that are no tokens: {missing}")
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        pairs = [
-            (self.ranks[t[:i]] << 32 | self.ranks[t[i:]], rank)
-            for t, rank in self.ranks.items()
-            for i in range(1, len(t))
-            if t[:i] in self.ranks and t[i:] in self.ranks
-        ]
-        pairs.sort()
-        self.pairs = np.array([p for p, _ in pairs] + [np.iinfo(np.int64).max], np.int64)
-        self.made = np.array([r for _, r in pairs] + [NONE], np.int32)
         sizes = np.zeros(max(self.ranks.values()) + 1, np.int64)
         for token, rank in self.ranks.items():
             sizes[rank] = len(token)
         self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
         by_rank = sorted((rank, token) for token, rank in self.ranks.items())
         self.bytes = np.frombuffer(b"".join(token for _, token in by_rank), np.uint8)
-        self.kinds = _Kinds(self.ranks)
+
+    @cached_property
+    def kinds(self) -> _Kinds:
+        return _Kinds(self.ranks)
+
+    @cached_property
+    def merges(self) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of tokens that make a token, in order, and its rank; the last is none."""
+        ranks = self.ranks
+        halves = ((t[:i], t[i:], rank) for t, rank in ranks.items() for i in range(1, len(t)))
+        pairs = sorted((ranks[a] << 32 | ranks[b], rank) for a, b, rank in halves if a in ranks and b in ranks)
+        return np.array([p for p, _ in pairs] + [np.iinfo(np.int64).max], np.int64), np.array([r for _, r in pairs] + [NONE], np.int32)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the merge of neighbours, NONE where there is none."""
+        pairs, made = self.merges
         keys = left.astype(np.int64) << 32 | right.astype(np.int64)
-        at = np.searchsorted(self.pairs, keys)
-        return np.where(self.pairs[at] == keys, self.made[at], NONE)
+        at = np.searchsorted(pairs, keys)
+        return np.where(pairs[at] == keys, made[at], NONE)
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the tokens, one after the other, and where each begins and the last ends."""
