@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from loglake.contract import SAFE_WIDENING, TYPE_ALIASES
@@ -54,15 +56,44 @@ def classify(diff: DataFrame) -> DataFrame:
     return diff.agg(F.coalesce(worst["severity"], F.lit("none")).alias("classification"))
 
 
+def _object(column: str) -> Column:
+    """A text as a JSON object; null if it is none."""
+    document = F.try_parse_json(column)
+    return F.when(F.schema_of_variant(document).startswith("OBJECT"), document)
+
+
+def _spark_type(spelled: str) -> str:
+    """A variant's type as JSON inference has it: decimals are doubles, what differs is text."""
+    quoted = spelled.split("`")  # every second part is a name
+    for i in range(0, len(quoted), 2):
+        for pattern, name in ((r"\bOBJECT<", "STRUCT<"), (r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE"), (r"\bVARIANT\b", "STRING")):
+            quoted[i] = re.sub(pattern, name, quoted[i])
+    return "`".join(quoted)
+
+
+def observed_schema(lines: DataFrame) -> tuple[T.StructType, bool]:
+    """Fields and types of JSON lines (``value``), and whether some line is not readable.
+
+    One pass and one row of result. A field that is null throughout has the type void.
+    """
+    parsed = lines.where(F.trim("value") != "").select(_object("value").alias("document"))
+    row = parsed.agg(
+        F.schema_of_variant_agg("document").alias("type"),
+        F.coalesce(F.bool_or(F.col("document").isNull()), F.lit(False)).alias("unreadable"),
+    ).first()
+    found = T.DataType.fromDDL(_spark_type(row.type)) if row.type.startswith("OBJECT<") else T.StructType()
+    return found, row.unreadable
+
+
 def json_fields(lines: DataFrame) -> DataFrame:
     """(_source_file, field, type, rows) of JSON lines; unreadable lines show as a field.
 
     ``lines`` has ``_source_file`` and ``value``. Types are read from the values
-    themselves. Repeats are counted before the shuffle, so one large file is no
+    themselves. A line that is JSON but no object counts as unreadable, as it has no
+    fields. Repeats are counted before the shuffle, so one large file is no
     larger here than its number of fields.
     """
-    document = F.try_parse_json("value").alias("document")
-    parsed = lines.where(F.col("value").isNotNull()).select("_source_file", document)
+    parsed = lines.where(F.col("value").isNotNull()).select("_source_file", _object("value").alias("document"))
     entry = lines.sparkSession.tvf.variant_explode_outer(F.col("document").outer())
     readable = F.col("document").isNotNull()
     counts = (

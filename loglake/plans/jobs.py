@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
-from datetime import datetime
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from loglake.contract import (
     MAX_LATENCY_MS,
@@ -20,12 +22,12 @@ from loglake.operators.cleaning import (
     arrived_between,
     clean_and_type,
     keep_latest,
-    source_files,
     to_contract,
     watermark,
 )
 from loglake.operators.datatests import run_data_tests
 from loglake.operators.quality import check_batch
+from loglake.operators.schema_diff import SEVERITY, observed_schema
 from loglake.operators.upsert import not_set_back
 from loglake.plans.marts import (
     daily_from_cube,
@@ -34,28 +36,33 @@ from loglake.plans.marts import (
     with_traffic_rank,
 )
 from loglake.plans.staging import stg_logs
+from loglake.sources.ledger import adopt, begin_run, close_run, closed_rows, not_taken_in
 from loglake.sources.raw import (
     as_paths,
     list_files,
     read_json_lines,
+    read_lines,
     require_event_columns,
     with_provenance,
 )
 from loglake.sources.tables import (
     NOTHING_MERGED,
+    UNREADABLE,
     append_new_rows,
     append_with_evolution,
     apply_pending,
     changed_days,
+    changed_fields,
     empty_partitions,
     on_days,
     overwrite_partitions,
     read_appended,
     read_if_exists,
+    read_run,
     read_silver,
-    schema_change,
     scratch_table,
     stage_batch,
+    stop_if_breaking,
     store_watermark,
     stored_watermark,
     table_schema,
@@ -68,7 +75,11 @@ logger = logging.getLogger("loglake")
 # Bronze is laid out by day of arrival, which is what the next step selects by,
 # and below that by day of the event.
 BRONZE_PARTITIONS = ("_arrival_date", "ingest_date")
-NOT_RAW = {"_source_file", "_ingested_at", *BRONZE_PARTITIONS}
+NOT_RAW = {"_source_file", "_ingested_at", "_run", *BRONZE_PARTITIONS}
+
+
+#: Names of new files that are on the driver at once; more are taken in by further runs.
+FILES_AT_ONCE = 100_000
 
 
 @dataclass(frozen=True)
@@ -77,6 +88,7 @@ class IngestResult:
     files_new: int
     rows_new: int
     schema_change: str
+    changed_fields: tuple[str, ...] = field(default=(), compare=False)
 
 
 @dataclass(frozen=True)
@@ -85,15 +97,43 @@ class SilverResult:
     merged_rows: int
 
 
-def _json_union(existing: T.StructType, new: T.StructType) -> T.StructType:
-    """Schema of files of both kinds read together, as JSON inference would have it."""
-    merged = {f.name: f.dataType for f in existing if f.name not in NOT_RAW}
-    for field in new:
-        known = merged.get(field.name, field.dataType)
-        if known != field.dataType:
-            numeric = {known.simpleString(), field.dataType.simpleString()} <= {"bigint", "double"}
-            known = T.DoubleType() if numeric else T.StringType()
-        merged[field.name] = known
+def _without_void(dtype: T.DataType) -> T.DataType:
+    """What is null throughout within a field is text, as for JSON inference."""
+    if isinstance(dtype, T.NullType):
+        return T.StringType()
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_without_void(dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _without_void(f.dataType)) for f in dtype])
+    return dtype
+
+
+def merged_schema(existing: T.StructType | None, observed: T.StructType, unreadable: bool, others_there: bool) -> T.StructType:
+    """Schema of new files and those known read together, as JSON inference would have it.
+
+    ``others_there``: files known are still in the raw folder, and have the fields of the table.
+    Types are merged with the table's in any case. A field that is null throughout the new
+    files is there with the type it has in the table, or else in the contract; one that has
+    none is left out until it has a value.
+    """
+    known = {} if existing is None else {f.name: f.dataType for f in existing if f.name not in NOT_RAW}
+    contract = {f.name: f.dataType for f in RAW_SCHEMA}
+    merged = dict(known) if others_there else {}
+    for found in observed:
+        name, dtype = found.name, found.dataType
+        if isinstance(dtype, T.NullType):
+            dtype = known.get(name) or contract.get(name)
+            if dtype is None:
+                continue
+        else:
+            dtype = _without_void(dtype)
+        before = known.get(name, dtype)
+        if before != dtype:
+            numeric = {before.simpleString(), dtype.simpleString()} <= {"bigint", "double"}
+            dtype = T.DoubleType() if numeric else T.StringType()
+        merged[name] = dtype
+    if unreadable or UNREADABLE in known:
+        merged[UNREADABLE] = T.StringType()
     return T.StructType([T.StructField(name, dtype) for name, dtype in merged.items()])
 
 
@@ -102,37 +142,23 @@ def bronze_rows(raw: DataFrame, ingested_at: datetime | None = None) -> DataFram
     return rows.withColumn("_arrival_date", F.to_date("_ingested_at"))
 
 
-def new_files(spark: SparkSession, raw_path: str, bronze_path: str) -> tuple[list[str], list[str]]:
-    """Names of all files below ``raw_path``, and of those that bronze has no rows of."""
+def new_files(spark: SparkSession, raw_path: str, bronze_path: str) -> tuple[DataFrame, DataFrame]:
+    """Names of all files below ``raw_path``, and of those that bronze has not taken in."""
+    adopt(spark, bronze_path)
     listed = list_files(spark, raw_path)
-    bronze = read_appended(spark, bronze_path)
-    if bronze is None or not listed:
-        return listed, listed
-    names = spark.createDataFrame([(name,) for name in listed], "_source_file string")
-    fresh = names.join(source_files(bronze), "_source_file", "left_anti")
-    return listed, [r._source_file for r in fresh.collect()]
+    return listed, not_taken_in(listed, bronze_path)
 
 
-def incoming_schema(
-    spark: SparkSession, listed: list[str], fresh: list[str], bronze_path: str
-) -> T.StructType:
-    """Schema of the new files together with the known files still in the raw folder.
+def incoming_schema(spark: SparkSession, names: list[str], others_there: bool, bronze_path: str) -> T.StructType:
+    """Schema of the named new files together with the known ones (see ``merged_schema``).
 
-    Only the new files are read; the bronze schema stands for the fields of the others.
+    Only the new files are read, once; the bronze schema stands for the fields of the others.
     """
     existing = table_schema(spark, bronze_path)
-    if not fresh:
+    if not names:
         return RAW_SCHEMA if existing is None else _raw_part(existing)
-    paths = as_paths(fresh)
-    inferred = read_json_lines(spark, paths).schema
-    if existing is None or len(fresh) == len(listed):
-        return inferred
-    merged = _json_union(existing, inferred)
-    if schema_change(spark, _raw_part(existing), merged) == "breaking":
-        # A field that is null throughout the new files infers as string.
-        valued = read_json_lines(spark, paths, dropFieldIfAllNull=True).schema
-        merged = _json_union(existing, valued)
-    return merged
+    observed, unreadable = observed_schema(read_lines(spark, as_paths(names)))
+    return merged_schema(existing, observed, unreadable, others_there)
 
 
 def ingest_raw(
@@ -141,28 +167,77 @@ def ingest_raw(
     bronze_path: str,
     ingested_at: datetime | None = None,
     schema: T.StructType | None = None,
+    files_at_once: int = FILES_AT_ONCE,
 ) -> IngestResult:
-    """Append the files not ingested before. Running it again does nothing.
+    """Take in the files not taken in before. Running it again does nothing.
 
-    Known files are left out by name before anything is read. A given ``schema``
-    spares the pass over the new files that infers it.
+    Known files are left out by name, from the ledger, before anything is read. A given
+    ``schema`` spares the pass over the new files that infers it. More than ``files_at_once``
+    new files are taken in by several runs, one after the other.
     """
     listed, fresh = new_files(spark, raw_path, bronze_path)
-    if not fresh:
-        logger.info("files listed=%d, new=0: nothing to ingest", len(listed))
-        return IngestResult(len(listed), 0, 0, "none")
-    schema = schema or incoming_schema(spark, listed, fresh, bronze_path)
-    raw = read_json_lines(spark, as_paths(fresh), schema)
-    require_event_columns(raw)
-
-    observed = Observation()
-    rows = bronze_rows(raw, ingested_at).observe(observed, F.count(F.lit(1)).alias("rows"))
-    change = append_with_evolution(rows, bronze_path, BRONZE_PARTITIONS)
-    result = IngestResult(len(listed), len(fresh), observed.get["rows"], change)
+    fresh = scratch_table(fresh, "new-files")
+    files_listed, files_new = listed.count(), fresh.count()
+    if not files_new:
+        logger.info("files listed=%d, new=0: nothing to ingest", files_listed)
+        return IngestResult(files_listed, 0, 0, "none")
+    ingested_at = ingested_at or datetime.now(timezone.utc)
+    rows, changes, others_there = 0, [], files_new < files_listed
+    names = (r._source_file for r in fresh.orderBy("_source_file").toLocalIterator())
+    while some := list(islice(names, files_at_once)):
+        found = schema or incoming_schema(spark, some, others_there, bronze_path)
+        change, added = _ingest_files(spark, some, found, bronze_path, ingested_at)
+        rows, others_there = rows + added, True
+        changes.append(change)
+    described = tuple(text for _, texts in changes for text in texts)
+    worst = max((kind for kind, _ in changes), key=SEVERITY.get)
+    result = IngestResult(files_listed, files_new, rows, worst, described)
     logger.info("%s", result)
     return result
 
 
+def _ingest_files(
+    spark: SparkSession, names: list[str], schema: T.StructType, bronze_path: str, ingested_at: datetime
+) -> tuple[tuple[str, tuple[str, ...]], int]:
+    """One run: the kind of change, the fields changed, and the number of rows."""
+    raw = read_json_lines(spark, as_paths(names), schema)
+    require_event_columns(raw)
+    rows = bronze_rows(raw, ingested_at)
+    existing = table_schema(spark, bronze_path)
+    changed = () if existing is None else _described(changed_fields(spark, _raw_part(existing), _raw_part(rows.schema)))
+    stop_if_breaking(spark, existing, rows.schema, bronze_path)
+    run = begin_run(spark, bronze_path)
+    change = append_with_evolution(rows, bronze_path, BRONZE_PARTITIONS, run)
+    counts = _counts_of_run(spark, bronze_path, run, ingested_at)
+    files = spark.createDataFrame([(name,) for name in names], "_source_file string")
+    entries = scratch_table(files.join(counts, "_source_file", "left").fillna(0, ["rows"]), "ledger-entries")
+    close_run(entries, bronze_path, run)
+    return (change, changed), entries.agg(F.sum("rows")).first()[0]
+
+
+def _counts_of_run(spark: SparkSession, bronze_path: str, run: str, ingested_at: datetime) -> DataFrame:
+    """Rows of each file that a run has written; reads one column of that run."""
+    day = spark.range(1).select(F.to_date(F.lit(ingested_at).cast("timestamp")).alias("day")).first().day
+    try:
+        written = read_run(spark, bronze_path, run, "_arrival_date", day)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # no file had a row
+            raise
+        return spark.createDataFrame([], "_source_file string, rows long")
+    return written.groupBy("_source_file").agg(F.count("*").alias("rows"))
+
+
+def _described(changes: DataFrame) -> tuple[str, ...]:
+    """Changed fields as text: one for each field, so as few as a schema has."""
+    return tuple(f"{r.change} {r.field}: {r.old_type} -> {r.new_type}" for r in changes.orderBy("field").collect())
+
+
+def read_bronze(spark: SparkSession, path: str) -> DataFrame | None:
+    """Bronze without the rows of runs that died, or None before the first append."""
+    table = read_appended(spark, path)
+    return None if table is None else closed_rows(table, path)
+
+
 def _raw_part(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema if f.name not in NOT_RAW])
 
@@ -187,7 +262,7 @@ def bronze_to_silver(
     ``event_times_fixed`` is explained at ``upsert_silver``.
     """
     apply_pending(spark, silver_path)
-    bronze = read_appended(spark, bronze_path)
+    bronze = read_bronze(spark, bronze_path)
     silver = read_silver(spark, silver_path)
     if bronze is None:
         return SilverResult(0, 0)

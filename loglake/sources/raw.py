@@ -53,10 +53,14 @@ def require_event_columns(raw: DataFrame) -> None:
         raise MissingColumnsError("fields absent from the raw batch: " + ", ".join(sorted(absent)))
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Names of all files below ``path``: the listing Spark's scan would make, no data."""
-    names = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
-    return [re.sub("^file:/+", "file:///", name) for name in names]
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(_source_file) of all files below ``path`` that hold anything, named as their rows name them.
+
+    Only the listing that any scan makes: no file is opened, and no name leaves Spark. A file of
+    no bytes is not there yet; it may be one that is still to be written.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(file_name().alias("_source_file"))
 
 
 def as_paths(names: list[str]) -> list[str]:

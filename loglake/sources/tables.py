@@ -13,6 +13,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -93,29 +94,64 @@ def _types(schema: T.StructType) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in schema}
 
 
+_HISTORY = "version long, field string, old_type string, new_type string, change string, severity string"
+#: Holds what could not be read. It comes and goes with such lines and is no change of schema.
+UNREADABLE = "_corrupt_record"
+
+
+def _compared(schema: T.StructType) -> T.StructType:
+    return T.StructType([f for f in schema if f.name != UNREADABLE])
+
+
 def schema_change(spark: SparkSession, existing: T.StructType | None, incoming: T.StructType) -> str:
     """none, additive, widening or breaking; none when there is no table yet."""
-    if existing is None or _types(existing) == _types(incoming):
+    if existing is None or _types(_compared(existing)) == _types(_compared(incoming)):
         return "none"
-    diff = schema_diff(fields(spark, existing), fields(spark, incoming))
-    return classify(diff).first()["classification"]
+    return classify(changed_fields(spark, existing, incoming)).first()["classification"]
 
 
-def append_with_evolution(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+def changed_fields(spark: SparkSession, existing: T.StructType, incoming: T.StructType) -> DataFrame:
+    """(field, old_type, new_type, change, severity) of what an append of ``incoming`` would change."""
+    return schema_diff(fields(spark, _compared(existing)), fields(spark, _compared(incoming)))
+
+
+def stop_if_breaking(spark: SparkSession, existing: T.StructType | None, incoming: T.StructType, path: str) -> None:
+    """Raise if an append of ``incoming`` would break the table; the run's own column may be new."""
+    if schema_change(spark, existing, incoming) != "breaking":
+        return
+    changes = changed_fields(spark, existing, incoming).where("severity = 'breaking' AND field <> '_run'")
+    found = ", ".join(f"{r.field}: {r.old_type} -> {r.new_type}" for r in changes.orderBy("field").collect())
+    if found:
+        raise SchemaEvolutionError(f"breaking schema change on {path}: {found}")
+
+
+def schema_history(spark: SparkSession, path: str) -> DataFrame:
+    """(version, field, old_type, new_type, change, severity): what each append changed, from version 1."""
+    schemas = _schemas(spark, path)
+    changes = None
+    for (_, _, old), (version, _, new) in zip(schemas, schemas[1:], strict=False):
+        part = changed_fields(spark, old, new).select(F.lit(version).cast("long").alias("version"), "*")
+        changes = part if changes is None else changes.unionByName(part)
+    return spark.createDataFrame([], _HISTORY) if changes is None else changes
+
+
+def append_with_evolution(df: DataFrame, path: str, partition_by: Sequence[str] = (), run: str | None = None) -> str:
     """Append, letting the table take on new columns and safely wider types.
 
-    A breaking change raises and writes nothing. Returns the kind of change.
+    A breaking change raises and writes nothing. Returns the kind of change. Rows of a ``run``
+    go to partitions of its own (``_run``). Rows are gathered by partition first, or every
+    task would write a file for every day it has a row of.
     """
     spark = df.sparkSession
+    if run is not None:
+        df, partition_by = df.withColumn("_run", F.lit(run)), (*partition_by, "_run")
     schemas = _schemas(spark, path)
     version, epoch, existing = schemas[-1] if schemas else (-1, 0, None)
+    if existing is not None and UNREADABLE in existing.names and UNREADABLE not in df.columns:
+        df = df.withColumn(UNREADABLE, F.lit(None).cast("string"))
     change = schema_change(spark, existing, df.schema)
-    if change == "breaking":
-        changes = schema_diff(fields(spark, existing), fields(spark, df.schema))
-        text = changes.where("severity = 'breaking'").orderBy("field").collect()
-        found = ", ".join(f"{r.field}: {r.old_type} -> {r.new_type}" for r in text)
-        raise SchemaEvolutionError(f"breaking schema change on {path}: {found}")
-    if existing is None or change != "none":
+    stop_if_breaking(spark, existing, df.schema, path)
+    if existing is None or _types(existing) != _types(df.schema):
         epoch += change == "widening"
         line = spark.range(1).select(
             F.lit(version + 1).cast("long").alias("version"),
@@ -123,10 +159,19 @@ def append_with_evolution(df: DataFrame, path: str, partition_by: Sequence[str]
             F.lit(df.schema.json()).alias("schema"),
         )
         line.coalesce(1).write.mode("append").json(f"{path}/_schema")
-    df.write.mode("append").partitionBy(*partition_by).parquet(f"{path}/_epoch={epoch}")
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.mode("append").partitionBy(*partition_by).parquet(f"{path}/_epoch={epoch}")
     return change
 
 
+def read_run(spark: SparkSession, path: str, run: str, day_column: str, day: date) -> DataFrame:
+    """What a run has just appended on one day; only that day's folder is listed."""
+    _, epoch, schema = _schemas(spark, path)[-1]
+    folder = f"{path}/_epoch={epoch}"
+    rows = spark.read.schema(schema).option("basePath", folder).parquet(f"{folder}/{day_column}={day}")
+    return rows.where(F.col("_run") == run)
+
+
 def append_new_rows(df: DataFrame, path: str, identity: Sequence[str]) -> None:
     """Append the rows the table does not hold yet, compared null-safely on ``identity``."""
     held = read_appended(df.sparkSession, path)

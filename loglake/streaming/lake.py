@@ -9,17 +9,19 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from loglake.operators.cleaning import source_files, without_known_files
+from loglake.operators.cleaning import without_known_files
 from loglake.plans.jobs import (
     BRONZE_PARTITIONS,
+    FILES_AT_ONCE,
     bronze_rows,
     bronze_to_silver,
     incoming_schema,
     new_files,
 )
+from loglake.sources.ledger import adopt, begin_run, close_run, ledger
 from loglake.sources.raw import require_event_columns
 from loglake.sources.tables import append_with_evolution, read_appended
 
@@ -35,7 +37,9 @@ def raw_stream(
     unless one is given, so that fields bronze does not have yet come along."""
     if schema is None:
         listed, fresh = new_files(spark, raw_path, bronze_path)
-        schema = incoming_schema(spark, listed, fresh, bronze_path)
+        names = [r._source_file for r in fresh.limit(FILES_AT_ONCE).collect()]
+        others_there = len(names) == FILES_AT_ONCE or listed.count() > len(names)
+        schema = incoming_schema(spark, names, others_there, bronze_path)
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True).options(**options)
     stream = reader.json(raw_path)
     require_event_columns(stream)
@@ -43,11 +47,15 @@ def raw_stream(
 
 
 def append_bronze(batch: DataFrame, bronze_path: str) -> None:
-    """Append a micro-batch; when Spark repeats one, its files are already known."""
-    bronze = read_appended(batch.sparkSession, bronze_path)
-    if bronze is not None:
-        batch = without_known_files(batch, source_files(bronze)).select(*batch.columns)
-    append_with_evolution(batch, bronze_path, BRONZE_PARTITIONS)
+    """Append a micro-batch as a run; when Spark repeats one, its files are in the ledger."""
+    spark = batch.sparkSession
+    adopt(spark, bronze_path)
+    known = ledger(spark, bronze_path)
+    batch = without_known_files(batch, known).select(*batch.columns)
+    run = begin_run(spark, bronze_path)
+    append_with_evolution(batch, bronze_path, BRONZE_PARTITIONS, run)
+    written = read_appended(spark, bronze_path).where(F.col("_run") == run)
+    close_run(written.groupBy("_source_file").agg(F.count("*").alias("rows")), bronze_path, run)
 
 
 def stream_to_bronze(
