@@ -53,8 +53,12 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     step("ingest", "append new raw files to bronze", "raw", "bronze")
     silver = step("silver", "clean, gate and upsert into silver", "bronze", "silver", "quarantine")
-    silver.add_argument("--null-rate-threshold", type=float, default=NULL_RATE_THRESHOLD)
-    silver.add_argument("--max-latency-ms", type=int, default=MAX_LATENCY_MS)
+
+    def limits(sub: argparse.ArgumentParser) -> None:
+        sub.add_argument("--null-rate-threshold", type=float, default=NULL_RATE_THRESHOLD)
+        sub.add_argument("--max-latency-ms", type=int, default=MAX_LATENCY_MS)
+
+    limits(silver)
     silver.add_argument(
         "--arrived",
         nargs=2,
@@ -76,12 +80,17 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     panel.add_argument("name", choices=PANELS)
     run = step("run", "all steps in order", "raw", "lake")
     run.add_argument("--as-of", type=_time)
+    limits(run)
     step("last-run", "show the last run in which all steps succeeded", "lake")
-    step("stream", "ingest and merge by micro-batches what is not yet done", "raw", "lake", "checkpoint")
+    limits(step("stream", "ingest and merge by micro-batches what is not yet done", "raw", "lake", "checkpoint"))
     step("drift", "show which file brought which field and type", "raw")
     return parser.parse_args(argv)
 
 
+def _limits(args: argparse.Namespace) -> dict:
+    return {"null_rate_threshold": args.null_rate_threshold, "max_latency_ms": args.max_latency_ms}
+
+
 def _passed(results: DataFrame) -> bool:
     rows = results.orderBy("model", "column_name", "test").collect()  # one per test
     for r in rows:
@@ -125,12 +134,13 @@ def main(argv: list[str] | None = None) -> int:
             mart, select = PANELS[args.name]
             _print_rows(select(jobs.read_mart(spark, args.marts_path, mart)))
         elif args.step == "run":
-            results = jobs.run_all(spark, args.raw_path, args.lake_path, args.as_of or now, now.isoformat())
+            results = jobs.run_all(spark, args.raw_path, args.lake_path, args.as_of or now, now.isoformat(), **_limits(args))
             return 0 if _passed(results) else 1
         elif args.step == "last-run":
             print(jobs.last_run(spark, f"{args.lake_path}/run_log"))
         elif args.step == "stream":
-            stream_to_silver(spark, args.raw_path, args.lake_path, args.checkpoint_path).awaitTermination()
+            stream = stream_to_silver(spark, args.raw_path, args.lake_path, args.checkpoint_path, limits=_limits(args))
+            stream.awaitTermination()
         elif args.step == "drift":
             history = field_history(json_fields(read_lines(spark, args.raw_path)))
             _print_rows(history.orderBy("first_file", "field"))

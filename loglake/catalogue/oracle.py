@@ -471,6 +471,17 @@ FROM (SELECT * FROM dim ORDER BY request_count DESC, endpoint, method LIMIT 15)"
     + _stats("fresh")
     + _report()
     + "SELECT * FROM report",
+    "quality_report_many_bad_values": _SILVER
+    + """,
+faulty AS (
+    SELECT * REPLACE (
+        CASE WHEN k % 3 = 0 THEN CAST(k % 700 + 600 AS INTEGER) ELSE status_code END AS status_code,
+        CASE WHEN k % 5 = 0 THEN 'M' || (k % 900) ELSE method END AS method)
+    FROM (SELECT *, CAST(substr(event_id, 3) AS BIGINT) AS k FROM silver)
+)"""
+    + _stats("faulty")
+    + _report()
+    + "SELECT * FROM report",
     "quality_summary": _DIRTY_LATEST
     + _stats("batch")
     + _report()
@@ -510,7 +521,9 @@ WHERE method NOT IN ({_METHODS}) GROUP BY method""",
     + """SELECT event_date, server_error_rate FROM fct
 WHERE server_error_rate < 0 OR server_error_rate > 0.2""",
     "test_freshness": _MODELS
-    + """SELECT max(event_ts) AS most_recent_event FROM stg
+    + """SELECT max(event_ts) AS most_recent_event,
+       epoch(TIMESTAMP '2024-01-31 12:00:00' - max(event_ts)) AS staleness
+FROM stg
 HAVING TIMESTAMP '2024-01-31 12:00:00' - max(event_ts) > INTERVAL 2 HOURS""",
     "data_test_suite": _MODELS + _suite("silver") + "SELECT * FROM suite",
     "data_test_suite_dirty": _DIRTY_MODELS + _suite("batch") + "SELECT * FROM suite",
@@ -538,6 +551,19 @@ FROM all_fields GROUP BY field, type""",
     "widening_append": _HALVES
     + """SELECT event_id, CAST(latency_ms AS DOUBLE) AS latency_ms, _ingested_at FROM target
 UNION ALL SELECT event_id, latency_ms + 0.5::DOUBLE, _ingested_at FROM source""",
+    "schema_changes_of_appends": """SELECT CAST(version AS BIGINT) AS version, field, old_type, new_type, change, severity
+FROM (VALUES (1, 'user_agent', NULL, 'string', 'added', 'additive'),
+             (2, 'session_id', NULL, 'string', 'added', 'additive'),
+             (2, 'is_authenticated', NULL, 'boolean', 'added', 'additive'),
+             (3, 'latency_ms', 'int', 'double', 'type_changed', 'widening'),
+             (4, 'country', 'string', NULL, 'removed', 'breaking'),
+             (4, 'status_code', 'int', 'string', 'type_changed', 'breaking'))
+    AS changes(version, field, old_type, new_type, change, severity)
+WHERE (SELECT count(*) FROM events) > 0""",
+    "ingest_after_half_commit": _LOGS
+    + "SELECT * EXCLUDE (_source_file) REPLACE (TIMESTAMP '2024-02-01 00:00:00' AS _ingested_at) FROM logs",
+    "ledger_of_files": _LOGS
+    + "SELECT ingest_batch_id AS file_batch, count(*) AS row_count FROM logs GROUP BY ingest_batch_id",
     "late_arrivals": _LATE,
     "quarantine_append": _DIRTY_LATEST + "SELECT * FROM batch",
     "lake_silver": _TWO_RUNS + "SELECT * EXCLUDE (_source_file) FROM lake",

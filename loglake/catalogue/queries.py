@@ -29,7 +29,7 @@ from loglake.operators.upsert import step_counts, upsert, upsert_effect
 from loglake.plans import jobs, marts, panels
 from loglake.plans.staging import stg_logs
 from loglake.session import configure, shared_folder
-from loglake.sources import events, raw, tables
+from loglake.sources import events, ledger, raw, tables
 from loglake.streaming.lake import stream_to_bronze, stream_to_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,6 +342,19 @@ def quality_report_empty(spark, sf_dir):
     return quality.gate_report(quality.batch_stats(nothing_new))
 
 
+@_query
+def quality_report_many_bad_values(spark, sf_dir):
+    """Hundreds of different bad codes and methods, all of them in the report."""
+    n = F.regexp_extract("event_id", "([0-9]+)", 1).cast("long")
+    faulty = stored_silver(spark, sf_dir).withColumns(
+        {
+            "status_code": F.when(n % 3 == 0, (n % 700 + 600).cast("int")).otherwise(F.col("status_code")),
+            "method": F.when(n % 5 == 0, F.concat(F.lit("M"), (n % 900).cast("string"))).otherwise(F.col("method")),
+        }
+    )
+    return quality.gate_report(quality.batch_stats(faulty))
+
+
 @_query
 def quality_summary(spark, sf_dir):
     stats = quality.batch_stats(_stored_dirty(spark, sf_dir))
@@ -389,7 +402,9 @@ def test_accepted_range(spark, sf_dir):
 
 @_query
 def test_freshness(spark, sf_dir):
-    return datatests.failing_freshness(_staging(spark, sf_dir), AS_OF)
+    stale = datatests.failing_freshness(_staging(spark, sf_dir), AS_OF)
+    seconds = F.col("staleness").cast("interval second").cast("decimal(18,6)").cast("double")
+    return stale.withColumn("staleness", seconds)
 
 
 def _models(silver: DataFrame) -> dict[str, DataFrame]:
@@ -504,6 +519,51 @@ def widening_append(spark, sf_dir):
     return tables.read_appended(spark, path)
 
 
+@_query
+def schema_changes_of_appends(spark, sf_dir):
+    """What the appends of four schema versions change, and one that is refused.
+
+    A log of whole latencies gains fields, then fractions; then a producer drops the country
+    and writes statuses as text.
+    """
+    path = _new_folder(spark, "versions")
+    numbered = _numbered(spark, sf_dir).drop("n")
+    arrival, version_3 = F.col("arrival_no"), ("session_id", "is_authenticated")
+    later = numbered.where(arrival >= 2)
+    for rows in (
+        numbered.where(arrival == 0).drop("user_agent", *version_3),
+        numbered.where(arrival == 1).drop(*version_3),
+        later.where(arrival < 4),
+        later.where(arrival >= 4).withColumn("latency_ms", F.col("latency_ms") / F.lit(2.0)),
+    ):
+        tables.append_with_evolution(rows, path)
+    refused = later.drop("country").withColumn("status_code", F.col("status_code").cast("string"))
+    last = tables.table_schema(spark, path)
+    breaking = tables.changed_fields(spark, last, refused.withColumn("latency_ms", F.lit(0.0)).schema)
+    return tables.schema_history(spark, path).unionByName(breaking.select(F.lit(4).cast("long").alias("version"), "*"))
+
+
+@_query
+def ingest_after_half_commit(spark, sf_dir):
+    """A run that died while its rows were being written: its files come whole, and once."""
+    bronze, files = _new_folder(spark, "bronze"), _raw_files(spark, sf_dir)
+    jobs.ingest_raw(spark, f"{files}/_half=1", bronze, INGESTED_AT)
+    lost = jobs.bronze_rows(raw.read_json_lines(spark, f"{files}/_half=2", RAW_SCHEMA), INGESTED_AT)
+    some = lost.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0).drop("_corrupt_record")
+    tables.append_with_evolution(some, bronze, jobs.BRONZE_PARTITIONS, ledger.begin_run(spark, bronze))
+    jobs.ingest_raw(spark, files, bronze, INGESTED_AT)
+    return to_contract(clean_and_type(jobs.read_bronze(spark, bronze))).drop("_source_file")
+
+
+@_query
+def ledger_of_files(spark, sf_dir):
+    """Rows that each file brought, as the ledger has it."""
+    bronze = _new_folder(spark, "bronze")
+    jobs.ingest_raw(spark, _raw_files(spark, sf_dir), bronze, INGESTED_AT)
+    batch = F.regexp_extract("_source_file", "_batch=([^/]+)/", 1).alias("file_batch")
+    return ledger.ledger(spark, bronze).groupBy(batch).agg(F.sum("rows").alias("row_count"))
+
+
 # --- late data, tables, whole runs -------------------------------------------
 
 

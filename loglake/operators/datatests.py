@@ -54,13 +54,15 @@ def failing_accepted_range(df: DataFrame, column: str, low: float, high: float)
 def failing_freshness(
     df: DataFrame, as_of: datetime, hours: int = FRESHNESS_HOURS, require_rows: bool = False
 ) -> DataFrame:
-    """One row when the newest event is more than ``hours`` older than ``as_of``.
+    """One row when the newest event is more than ``hours`` older than ``as_of``, and by how much.
 
-    An empty table passes, unless ``require_rows``.
+    An empty table passes, unless ``require_rows``; its staleness is null.
     """
     limit = F.lit(as_of).cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
     stale = F.coalesce(F.col("most_recent_event") < limit, F.lit(require_rows))
-    return df.agg(F.max("event_ts").alias("most_recent_event")).where(stale)
+    newest = df.agg(F.max("event_ts").alias("most_recent_event"))
+    staleness = F.lit(as_of).cast("timestamp") - F.col("most_recent_event")
+    return newest.withColumn("staleness", staleness).where(stale)
 
 
 class DataTest(NamedTuple):

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from loglake.functions.columns import safe_rate
+from loglake.operators.prefix import running_max_before
 from loglake.operators.percentiles import profile, value_counts
 
 
@@ -12,7 +13,8 @@ def late_arrival_profile(df: DataFrame) -> DataFrame:
     """Per batch: rows, late rows, their share, and the 95th percentile of the delay.
 
     A row is late when its event is older than the newest event of all earlier
-    batches. That newest event is found on one row per batch. The delay counts
+    batches. That newest event is found on one row per batch, by a scan over ranges of
+    batches (see ``prefix``), for batches are as many as a lake is old. The delay counts
     whole seconds, so a batch of any size has few distinct delays.
     """
     newest = (
@@ -20,8 +22,7 @@ def late_arrival_profile(df: DataFrame) -> DataFrame:
         .groupBy("ingest_batch_id")
         .agg(F.max("event_time").alias("_newest"))
     )
-    earlier = Window.orderBy("ingest_batch_id").rowsBetween(Window.unboundedPreceding, -1)
-    seen_before = newest.select("ingest_batch_id", F.max("_newest").over(earlier).alias("_seen"))
+    seen_before = running_max_before(newest, "ingest_batch_id", "_newest", "_seen").drop("_newest")
     rows = df.select(
         "ingest_batch_id",
         "event_time",

@@ -6,7 +6,7 @@ brought to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from loglake.contract import (
     MAX_LATENCY_MS,
@@ -18,9 +18,6 @@ from loglake.contract import (
 )
 from loglake.functions.columns import count_where
 
-# How many bad values a report line spells out; `bad_values` has all of them.
-SHOWN_VALUES = 100
-
 # Names of the rules and wording of their details.
 RULE_NON_EMPTY = "non_empty_batch"
 RULE_NULL_RATE = "null_rate::"
@@ -70,23 +67,17 @@ def bad_values(df: DataFrame) -> DataFrame:
 
 
 def _shown_values(df: DataFrame) -> DataFrame:
-    """One row: the bad values of each rule as text, in order, null last."""
-    in_order = Window.partitionBy("rule").orderBy(
-        F.col("value") == "NULL", F.col("number").asc_nulls_last(), "value"
-    )
-    first = (
-        bad_values(df)
-        .withColumn("place", F.row_number().over(in_order))
-        .where(F.col("place") <= SHOWN_VALUES + 1)
-    )
-    text = F.when(F.col("place") <= SHOWN_VALUES, F.col("value")).otherwise("...")
+    """One row: the bad values of each rule as text, in order, null last.
 
+    Every distinct value is in the line, as the report is read by a person who mends the batch;
+    rows are counted by value before they meet.
+    """
     def listed(rule: str) -> Column:
-        entry = F.when(F.col("rule") == rule, F.struct("place", text.alias("text")))
+        entry = F.when(F.col("rule") == rule, F.struct(F.col("value") == "NULL", F.coalesce("number", F.lit(0)), "value"))
         entries = F.array_sort(F.collect_list(entry))
-        return F.nullif(F.array_join(F.transform(entries, lambda e: e["text"]), ", "), F.lit(""))
+        return F.nullif(F.array_join(F.transform(entries, lambda e: e["value"]), ", "), F.lit(""))
 
-    return first.agg(
+    return bad_values(df).agg(
         listed(RULE_STATUS).alias("bad_status_codes"), listed(RULE_METHOD).alias("bad_methods")
     )
 

@@ -66,7 +66,7 @@ from loglake.sources.tables import (
     store_watermark,
     stored_watermark,
     table_schema,
-    upsert_silver,
+    upsert_staged,
     write_table,
 )
 
@@ -259,7 +259,7 @@ def bronze_to_silver(
     ``arrived`` names a window of arrival times to process instead, which leaves the
     watermark where it is: arrivals passed over are still to come, and rows of the
     window that come again change nothing. A row never replaces a newer one.
-    ``event_times_fixed`` is explained at ``upsert_silver``.
+    ``event_times_fixed`` is explained at ``upsert_staged``.
     """
     apply_pending(spark, silver_path)
     bronze = read_bronze(spark, bronze_path)
@@ -295,7 +295,7 @@ def bronze_to_silver(
         store_watermark(spark, silver_path, merged_until)
     result = SilverResult(found, batch.count())
     if result.merged_rows:
-        upsert_silver(batch, silver_path, event_times_fixed)
+        upsert_staged(spark, silver_path, event_times_fixed)
     if arrived is None and stored is not None:
         store_watermark(spark, silver_path, _watermark(candidates))
     logger.info("%s", result)
@@ -409,13 +409,16 @@ def run_all(
     as_of: datetime,
     run: str,
     ingested_at: datetime | None = None,
+    **limits,
 ) -> DataFrame:
     """Every step in order. Stops at the first that fails; a warning does not stop it.
 
+    ``limits`` are those of the gate: null_rate_threshold and max_latency_ms.
+
     Returns the results of the data tests; the run is marked if none is an error.
     """
     ingest_raw(spark, raw_path, f"{lake_path}/bronze", ingested_at)
-    bronze_to_silver(spark, f"{lake_path}/bronze", f"{lake_path}/silver", f"{lake_path}/quarantine")
+    bronze_to_silver(spark, f"{lake_path}/bronze", f"{lake_path}/silver", f"{lake_path}/quarantine", **limits)
     models = build_marts(spark, f"{lake_path}/silver", f"{lake_path}/marts")
     results = write_table(run_data_tests(models, as_of), f"{lake_path}/data_tests")
     if results.where("status = 'error'").isEmpty():

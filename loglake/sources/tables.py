@@ -9,7 +9,6 @@ renames files into it. One writer at a time, as for the watermark.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import uuid
 from collections.abc import Sequence
@@ -42,9 +41,10 @@ def read_if_exists(
 # --- appended tables ---------------------------------------------------------
 #
 # <path>/_schema        one line per schema the table has had
-# <path>/_epoch=<n>/    data files; a new epoch starts when a column's type widens,
-#                       so files never need rewriting: each epoch is read under
-#                       its own last schema and cast to the newest
+# <path>/_epoch=<n>/    data files; a new epoch starts when a column's type widens or
+#                       runs get partitions of their own, so files never need
+#                       rewriting: each epoch is read under its own last schema
+#                       and cast to the newest
 
 _SCHEMA_LOG = T.StructType(
     [
@@ -100,7 +100,7 @@ UNREADABLE = "_corrupt_record"
 
 
 def _compared(schema: T.StructType) -> T.StructType:
-    return T.StructType([f for f in schema if f.name != UNREADABLE])
+    return T.StructType([f for f in schema if f.name not in (UNREADABLE, "_run")])
 
 
 def schema_change(spark: SparkSession, existing: T.StructType | None, incoming: T.StructType) -> str:
@@ -116,12 +116,10 @@ def changed_fields(spark: SparkSession, existing: T.StructType, incoming: T.Stru
 
 
 def stop_if_breaking(spark: SparkSession, existing: T.StructType | None, incoming: T.StructType, path: str) -> None:
-    """Raise if an append of ``incoming`` would break the table; the run's own column may be new."""
-    if schema_change(spark, existing, incoming) != "breaking":
-        return
-    changes = changed_fields(spark, existing, incoming).where("severity = 'breaking' AND field <> '_run'")
-    found = ", ".join(f"{r.field}: {r.old_type} -> {r.new_type}" for r in changes.orderBy("field").collect())
-    if found:
+    """Raise if an append of ``incoming`` would break the table."""
+    if schema_change(spark, existing, incoming) == "breaking":
+        changes = changed_fields(spark, existing, incoming).where("severity = 'breaking'").orderBy("field")
+        found = ", ".join(f"{r.field}: {r.old_type} -> {r.new_type}" for r in changes.collect())
         raise SchemaEvolutionError(f"breaking schema change on {path}: {found}")
 
 
@@ -152,7 +150,8 @@ def append_with_evolution(df: DataFrame, path: str, partition_by: Sequence[str]
     change = schema_change(spark, existing, df.schema)
     stop_if_breaking(spark, existing, df.schema, path)
     if existing is None or _types(existing) != _types(df.schema):
-        epoch += change == "widening"
+        # Folders of one epoch have the same partition columns.
+        epoch += existing is not None and (change == "widening" or ("_run" in df.columns) != ("_run" in existing.names))
         line = spark.range(1).select(
             F.lit(version + 1).cast("long").alias("version"),
             F.lit(epoch).cast("long").alias("epoch"),
@@ -190,7 +189,7 @@ def append_new_rows(df: DataFrame, path: str, identity: Sequence[str]) -> None:
 #
 # A run writes its rows to directories of its own and rewrites only those
 # directories of earlier runs that hold rows it replaces. Everything it will
-# write is first staged in the shared folder and then marked pending; applying
+# write is first staged in <path>/_staging and then marked pending; applying
 # it overwrites whole directories, so it may be repeated after a crash.
 
 _STORED_SCHEMA = T.StructType([*SILVER_SCHEMA.fields, T.StructField("_run", T.StringType())])
@@ -203,18 +202,18 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame | None:
     return None if stored is None else stored.select(*SILVER_SCHEMA.names)
 
 
-def staging_folder(spark: SparkSession, path: str) -> str:
-    name = hashlib.sha256(path.encode()).hexdigest()[:16]
-    return f"{shared_folder(spark)}/loglake-staging/{name}"
+def staging_folder(path: str) -> str:
+    """Beside the table's rows, so that whoever finds the table finds what is pending."""
+    return f"{path.rstrip('/')}/_staging"
 
 
 def stage_batch(batch: DataFrame, path: str, name: str = "batch") -> DataFrame:
     """Write the cleaned batch once; the gate and the upsert read it from there.
 
-    The upsert brings in what is staged under the name ``batch``.
+    ``upsert_staged`` brings in what is staged under the name ``batch``.
     """
     spark = batch.sparkSession
-    folder = f"{staging_folder(spark, path)}/{name}"
+    folder = f"{staging_folder(path)}/{name}"
     batch.write.mode("overwrite").parquet(folder)
     return spark.read.schema(SILVER_SCHEMA).parquet(folder)
 
@@ -232,18 +231,18 @@ def on_days(column: str, days: list) -> Column:
 
 def _mark(spark: SparkSession, path: str, state: str, run: str) -> None:
     row = spark.range(1).select(F.lit(state).alias("state"), F.lit(run).alias("run"))
-    row.coalesce(1).write.mode("overwrite").json(f"{staging_folder(spark, path)}/state")
+    row.coalesce(1).write.mode("overwrite").json(f"{staging_folder(path)}/state")
 
 
-def upsert_silver(staged: DataFrame, path: str, event_times_fixed: bool = False) -> None:
-    """Upsert a staged batch, one row per event id, into the table at ``path``.
+def upsert_staged(spark: SparkSession, path: str, event_times_fixed: bool = False) -> None:
+    """Upsert the staged batch, one row per event id, into the table at ``path``.
 
     An event may come again with another time, so rows to replace are looked for in
     all days. Where producers never change the time of an event,
     ``event_times_fixed`` keeps the search to the days of the batch.
     """
-    spark = staged.sparkSession
-    folder = staging_folder(spark, path)
+    folder = staging_folder(path)
+    staged = spark.read.schema(SILVER_SCHEMA).parquet(f"{folder}/batch")
     stored = read_if_exists(spark, path, _STORED_SCHEMA)
     if stored is None:
         stored = spark.createDataFrame([], _STORED_SCHEMA)
@@ -268,7 +267,7 @@ def upsert_silver(staged: DataFrame, path: str, event_times_fixed: bool = False)
 
 def apply_pending(spark: SparkSession, path: str) -> bool:
     """Bring a staged upsert into the table, also one that an earlier run left undone."""
-    folder = staging_folder(spark, path)
+    folder = staging_folder(path)
     state = read_if_exists(spark, f"{folder}/state", fmt="json")
     row = None if state is None else state.first()
     if row is None or row.state != "pending":

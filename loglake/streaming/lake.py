@@ -7,6 +7,7 @@ watermark would drop them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -83,9 +84,10 @@ def stream_to_silver(
     lake_path: str,
     checkpoint_path: str,
     schema: T.StructType | None = None,
+    limits: Mapping[str, float] | None = None,
     **options,
 ) -> StreamingQuery:
-    """Ingest and merge micro-batch by micro-batch.
+    """Ingest and merge micro-batch by micro-batch. ``limits`` are those of the gate.
 
     A batch that fails the gate stops the query; the checkpoint then still holds
     it, and a restart meets it again.
@@ -98,6 +100,7 @@ def stream_to_silver(
             f"{lake_path}/bronze",
             f"{lake_path}/silver",
             f"{lake_path}/quarantine",
+            **(limits or {}),
         )
 
     return (

@@ -16,7 +16,7 @@ from loglake.contract import (
 )
 from loglake.operators.cleaning import keep_latest
 from loglake.plans import jobs
-from loglake.sources import events, tables
+from loglake.sources import events, ledger, tables
 from loglake.sources.raw import list_files, read_json_lines
 
 T0, T1, T2 = utc("2024-02-01T00:00:00"), utc("2024-02-01T00:15:00"), utc("2024-02-01T00:30:00")
@@ -82,6 +82,87 @@ def test_only_new_files_are_ingested(lake):
     assert bronze.select("_source_file").distinct().count() == 2
 
 
+def test_half_a_commit_does_not_count_and_its_files_come_whole(lake, monkeypatch):
+    lake.put("a.jsonl", event(1))
+    lake.ingest(T0)
+    lake.put("b.jsonl", event(2), event(3, event_time="2024-01-15T00:00:00+00:00"))
+
+    close = jobs.close_run
+    monkeypatch.setattr(jobs, "close_run", lambda *a: (_ for _ in ()).throw(OSError("driver lost")))
+    for _ in range(2):  # lost twice
+        with pytest.raises(OSError):
+            lake.ingest(T1)
+    monkeypatch.setattr(jobs, "close_run", close)
+    assert jobs.read_bronze(lake.spark, lake.bronze).count() == 1
+    lake.refine()
+    assert lake.rows("event_id") == [("e_1",)]
+    lake.put("c.jsonl", event(4))
+    assert lake.ingest(T2) == jobs.IngestResult(3, 2, 3, "none")
+    assert jobs.read_bronze(lake.spark, lake.bronze).count() == 4
+    lake.refine()
+    assert lake.rows("event_id") == [("e_1",), ("e_2",), ("e_3",), ("e_4",)]
+    assert lake.ingest(T2) == jobs.IngestResult(3, 0, 0, "none")
+
+
+def test_files_without_rows_are_known(lake, spark):
+    lake.put("a.jsonl", event(1))
+    lake.put("blank.jsonl", "", " ")
+    lake.put("empty.jsonl")
+    assert lake.ingest() == jobs.IngestResult(2, 2, 1, "none")  # no bytes, no file yet
+    assert lake.ingest() == jobs.IngestResult(2, 0, 0, "none")
+    found = {r._source_file.rsplit("/", 1)[1]: r.rows for r in ledger.ledger(spark, lake.bronze).collect()}
+    assert found == {"a.jsonl": 1, "blank.jsonl": 0}
+    lake.put("empty.jsonl", event(2))
+    assert lake.ingest().rows_new == 1
+
+
+def test_many_files_are_taken_in_by_several_runs(lake, spark):
+    for i in range(7):
+        lake.put(f"{i}.jsonl", event(i, **({"user_agent": "ua"} if i == 5 else {})))
+    assert lake.ingest(files_at_once=3) == jobs.IngestResult(7, 7, 7, "additive")
+    assert ledger.ledger(spark, lake.bronze).select("_run").distinct().count() == 3
+    assert jobs.read_bronze(spark, lake.bronze).select("event_id").distinct().count() == 7
+
+
+def test_a_rerun_reads_names_only(lake, spark):
+    lake.put("a.jsonl", event(1))
+    lake.ingest()
+    listed, fresh = jobs.new_files(spark, lake.raw.replace("[", "\\[").replace("]", "\\]"), lake.bronze)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "_epoch" not in plan and "ReadSchema: struct<>" in plan
+    assert (listed.count(), fresh.count()) == (1, 0)
+
+
+def test_a_table_from_before_ledgers_gets_one(lake, spark):
+    lake.put("a.jsonl", event(1))
+    rows = jobs.bronze_rows(read_json_lines(spark, lake.raw.replace("[", "\\[").replace("]", "\\]")), T0)
+    tables.append_with_evolution(rows, lake.bronze, jobs.BRONZE_PARTITIONS)
+    assert lake.ingest(T1) == jobs.IngestResult(1, 0, 0, "none")
+    lake.put("b.jsonl", event(2))
+    assert lake.ingest(T1) == jobs.IngestResult(2, 1, 1, "none")
+    assert jobs.read_bronze(spark, lake.bronze).count() == 2
+
+
+@pytest.mark.parametrize("others", [True, False])
+def test_no_false_alarms(lake, spark, tmp_path, others):
+    """All-null fields and bad lines break nothing, whether or not older files are still there."""
+    lake.put("a.jsonl", event(1, is_authenticated=True), "{broken")
+    lake.ingest()
+    if not others:
+        other = Lake(spark, tmp_path / "other")
+        other.bronze, lake = lake.bronze, other
+    lake.put("b.jsonl", event(2, is_authenticated=None, latency_ms=1.5))
+    result = lake.ingest()
+    assert result.schema_change == "widening"
+    assert result.changed_fields == ("type_changed latency_ms: bigint -> double",)
+    lake.put("c.jsonl", event(3, is_authenticated=False, colour=None))
+    assert lake.ingest().schema_change == "none"
+    lake.put("d.jsonl", event(4, is_authenticated=False, colour="red"))
+    assert lake.ingest().changed_fields == ("added colour: None -> string",)
+    rows = {r.event_id: (r.is_authenticated, r.latency_ms) for r in jobs.read_bronze(spark, lake.bronze).collect()}
+    assert rows == {None: (None, None), "e_1": (True, 11.0), "e_2": (None, 1.5), "e_3": (False, 13.0), "e_4": (False, 14.0)}
+
+
 def test_unreadable_line_is_kept_in_bronze_and_counted_by_the_gate(lake):
     lake.put("a.jsonl", "{broken", *(event(i) for i in range(199)))
     assert lake.ingest().rows_new == 200
@@ -289,7 +370,7 @@ def test_run_that_died_while_writing_silver_is_finished_by_the_next(lake, monkey
         lake.refine()
     monkeypatch.setattr(tables, "apply_pending", apply)
     # half of the directories are there already: the new day, but not the changed one
-    folder = tables.staging_folder(lake.spark, lake.silver)
+    folder = tables.staging_folder(lake.silver)
     half = lake.spark.read.parquet(f"{folder}/batch").where("ingest_date = '2024-01-15'")
     run = lake.spark.read.json(f"{folder}/state").first().run
     half.withColumn("_run", F.lit(run)).write.mode("append").partitionBy("ingest_date", "_run").parquet(lake.silver)

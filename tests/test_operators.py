@@ -248,3 +248,20 @@ def test_suite_warns_on_unknown_status_and_fails_on_unknown_method(silver_rows):
     assert status() == "pass"
     assert status(status_code=418) == "warn"
     assert status(method="FETCH") == "error"
+
+
+def test_running_totals_before_a_row(spark):
+    import random
+
+    from loglake.operators.prefix import running_max_before, running_sum_before
+
+    rng = random.Random(2)
+    keys = rng.sample(range(10_000), 400)
+    values = [None if rng.random() < 0.3 else rng.randrange(1000) for _ in keys]
+    df = spark.createDataFrame(list(zip(keys, values)), "k long, v long").repartition(7)
+    in_order = [v for _, v in sorted(zip(keys, values))]
+    for scan, total in ((running_max_before, max), (running_sum_before, sum)):
+        rows = scan(df, "k", "v", "before").orderBy("k").collect()
+        expected = [total(x) if (x := [v for v in in_order[:i] if v is not None]) else None for i in range(400)]
+        assert [r.before for r in rows] == expected and [r.v for r in rows] == in_order
+        assert scan(df.where("false"), "k", "v", "before").count() == 0

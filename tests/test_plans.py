@@ -39,7 +39,8 @@ def bronze(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def silver(spark, bronze, tmp_path_factory):
     path = f"{tmp_path_factory.mktemp('plans')}/silver"
-    tables.upsert_silver(tables.stage_batch(keep_latest(to_contract(bronze)), path), path)
+    tables.stage_batch(keep_latest(to_contract(bronze)), path)
+    tables.upsert_staged(spark, path)
     return tables.read_silver(spark, path)
 
 

@@ -2,9 +2,14 @@
 
 import pytest
 
+from loglake.contract import MAX_LATENCY_MS, MAX_STATUS, NULL_CHECKED_COLUMNS, NULL_RATE_THRESHOLD
 from loglake.operators.cleaning import keep_latest
 from loglake.operators.quality import (
     RULE_DUPLICATES,
+    RULE_LATENCY,
+    RULE_METHOD,
+    RULE_NULL_RATE,
+    RULE_STATUS,
     bad_values,
     batch_stats,
     broken_rules,
@@ -18,34 +23,35 @@ STATS = (
     "null_status_code bigint, null_user_id bigint, max_latency_ms bigint,"
     "duplicate_event_ids bigint, bad_status_codes string, bad_methods string"
 )
+ROWS = 5_000
+ALLOWED = int(ROWS * NULL_RATE_THRESHOLD)
 CLEAN = {
-    "row_count": 1000,
-    "null_event_id": 0,
-    "null_event_time": 0,
-    "null_endpoint": 0,
-    "null_status_code": 0,
-    "null_user_id": 0,
-    "max_latency_ms": 4500,
+    "row_count": ROWS,
+    **{f"null_{c}": 0 for c in NULL_CHECKED_COLUMNS},
+    "max_latency_ms": 0,
     "duplicate_event_ids": 0,
     "bad_status_codes": None,
     "bad_methods": None,
 }
 
-CASES = {
-    "clean": ({}, []),
-    "too many nulls": ({"null_event_id": 50}, ["null_rate::event_id"]),
-    "few nulls": ({"null_event_id": 5}, []),
-    "nulls at the threshold": ({"null_user_id": 10}, []),
-    "bad status": ({"bad_status_codes": "9999"}, ["status_code_range"]),
-    "bad method": ({"bad_methods": "'FETCH'"}, ["method_whitelist"]),
-    "latency": ({"max_latency_ms": 999_999}, ["latency_sanity"]),
-    "latency at the limit": ({"max_latency_ms": 30_000}, []),
-    "duplicates": ({"duplicate_event_ids": 3}, ["no_duplicate_event_ids"]),
-    "several": (
-        {"duplicate_event_ids": 3, "bad_status_codes": "9999"},
-        ["status_code_range", "no_duplicate_event_ids"],
-    ),
-}
+
+def _cases():
+    """Each limit of the contract just below, at and above it."""
+    yield "nothing wrong", {}, []
+    for column in NULL_CHECKED_COLUMNS:
+        rule = f"{RULE_NULL_RATE}{column}"
+        for nulls, failures in ((ALLOWED - 1, []), (ALLOWED, []), (ALLOWED + 1, [rule]), (ROWS, [rule])):
+            yield f"{nulls} of {column} missing", {f"null_{column}": nulls}, failures
+    for latency, failures in ((MAX_LATENCY_MS - 1, []), (MAX_LATENCY_MS, []), (MAX_LATENCY_MS + 1, [RULE_LATENCY])):
+        yield f"latency {latency}", {"max_latency_ms": latency}, failures
+    yield "one id twice", {"duplicate_event_ids": 1}, [RULE_DUPLICATES]
+    yield "a code", {"bad_status_codes": str(MAX_STATUS + 1)}, [RULE_STATUS]
+    yield "a method", {"bad_methods": "'?'"}, [RULE_METHOD]
+    everything = {k: ROWS for k in CLEAN if k.startswith("null_")} | {"bad_methods": "NULL", "bad_status_codes": "NULL"}
+    yield "everything missing", everything, [f"{RULE_NULL_RATE}{c}" for c in NULL_CHECKED_COLUMNS] + [RULE_STATUS, RULE_METHOD]
+
+
+CASES = {name: rest for name, *rest in _cases()}
 
 
 def report_on(spark, **changes):
@@ -67,11 +73,11 @@ def test_empty_batch_has_one_failed_line(spark):
 
 
 def test_summary_text(spark):
-    summary = report_summary(report_on(spark, null_event_id=5)).first()
+    summary = report_summary(report_on(spark, null_event_id=5, max_latency_ms=4500)).first()
     assert summary.passed and summary.failures == ""
     lines = summary.summary.split("\n")
-    assert lines[0] == "[PASS] non_empty_batch: row_count=1000"
-    assert lines[1] == "[PASS] null_rate::event_id: 5/1000 = 0.0050 (threshold 0.01)"
+    assert lines[0] == "[PASS] non_empty_batch: row_count=5000"
+    assert lines[1] == "[PASS] null_rate::event_id: 5/5000 = 0.0010 (threshold 0.01)"
     assert lines[-2] == "[PASS] latency_sanity: max_latency_ms=4500 (limit 30000)"
 
 
@@ -117,7 +123,7 @@ def test_bad_values_are_sorted_and_complete(silver_rows):
     batch = silver_rows(*({"status_code": s} for s in statuses), {"method": "B"}, {"method": "A"})
     stats = batch_stats(batch).first()
     shown = stats.bad_status_codes.split(", ")
-    assert shown[:3] == ["600", "601", "602"] and len(shown) == 101 and shown[-1] == "..."
+    assert shown == [*map(str, range(600, 750)), "NULL"]
     assert stats.bad_methods == "'A', 'B'"
     assert bad_values(batch).count() == 151 + 2
 
