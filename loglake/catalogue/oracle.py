@@ -434,6 +434,9 @@ UNION ALL SELECT 'merged', count(*) FROM source""",
 FROM cleaned GROUP BY 1, 2, 3""",
     "daily_request_count": _MODELS + "SELECT event_date, request_count FROM fct",
     "daily_unique_users": _MODELS + "SELECT event_date, unique_users FROM fct",
+    "user_sketches": _MODELS
+    + """SELECT CAST(event_date AS VARCHAR) AS span, unique_users, true AS sketch_is_near FROM fct
+UNION ALL SELECT 'all days', count(DISTINCT user_id), true FROM stg""",
     "daily_error_rates": _MODELS
     + "SELECT event_date, server_error_count, client_error_count, server_error_rate FROM fct",
     "daily_latency": _MODELS

@@ -235,6 +235,20 @@ def daily_unique_users(spark, sf_dir):
     return marts.daily_unique_users(_staging(spark, sf_dir))
 
 
+@_query
+def user_sketches(spark, sf_dir):
+    """Users of each day and of all days, and whether their sketches come within 3 per cent."""
+    logs = _staging(spark, sf_dir)
+    sketches = marts.daily_user_sketches(logs)
+    by_day = sketches.select("event_date", F.hll_sketch_estimate("users").alias("about"))
+    days = marts.daily_unique_users(logs).join(by_day, "event_date").select(F.col("event_date").cast("string").alias("span"), "unique_users", "about")
+    overall = logs.agg(F.count_distinct("user_id").alias("unique_users"))
+    about = marts.users_of_span(sketches).withColumnRenamed("unique_users", "about").scalar()
+    spans = days.unionByName(overall.select(F.lit("all days").alias("span"), "unique_users", about.alias("about")))
+    near = 100 * F.abs(F.col("about") - F.col("unique_users")) <= 3 * F.col("unique_users")
+    return spans.select("span", "unique_users", near.alias("sketch_is_near"))
+
+
 @_query
 def daily_error_rates(spark, sf_dir):
     return marts.fct_requests_daily(_staging(spark, sf_dir)).select(
@@ -578,8 +592,8 @@ def quarantine_append(spark, sf_dir):
     path = _new_folder(spark, "quarantine")
     batch = _stored_dirty(spark, sf_dir)
     for _ in range(2):
-        tables.append_new_rows(batch, path, ("_source_file", "event_id", "_ingested_at"))
-    return tables.read_appended(spark, path)
+        tables.append_new_rows(batch, path)
+    return tables.read_appended(spark, path).drop("_arrival_date")
 
 
 def _lake_of_two_runs(spark: SparkSession, sf_dir: str) -> str:

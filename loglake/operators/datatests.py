@@ -51,6 +51,10 @@ def failing_accepted_range(df: DataFrame, column: str, low: float, high: float)
     return df.where(_outside(column, low, high))
 
 
+def _oldest(as_of: datetime, hours: int) -> Column:
+    return F.lit(as_of).cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
+
+
 def failing_freshness(
     df: DataFrame, as_of: datetime, hours: int = FRESHNESS_HOURS, require_rows: bool = False
 ) -> DataFrame:
@@ -58,8 +62,7 @@ def failing_freshness(
 
     An empty table passes, unless ``require_rows``; its staleness is null.
     """
-    limit = F.lit(as_of).cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
-    stale = F.coalesce(F.col("most_recent_event") < limit, F.lit(require_rows))
+    stale = F.coalesce(F.col("most_recent_event") < _oldest(as_of, hours), F.lit(require_rows))
     newest = df.agg(F.max("event_ts").alias("most_recent_event"))
     staleness = F.lit(as_of).cast("timestamp") - F.col("most_recent_event")
     return newest.withColumn("staleness", staleness).where(stale)
@@ -99,12 +102,17 @@ DATA_TESTS = (
 )
 
 
-def _row_failures(test: DataTest) -> Column | None:
-    """Count of failing rows, for tests that look at one row at a time."""
+def _failures(test: DataTest, as_of: datetime, require_rows: bool) -> Column | None:
+    """Count of failing rows or values as one aggregate; None for tests that need a shuffle of their own."""
+    column = F.col(test.column)
     if test.kind == "not_null":
-        return count_where(F.col(test.column).isNull())
+        return count_where(column.isNull())
     if test.kind == "accepted_range":
         return count_where(_outside(test.column, *test.values))
+    if test.kind == "accepted_values":
+        return F.count_distinct(F.when(_unaccepted(test.column, test.values), column.cast("string")))
+    if test.kind == "freshness":
+        return F.coalesce(F.max(column) < _oldest(as_of, FRESHNESS_HOURS), F.lit(require_rows)).cast("bigint")
     return None
 
 
@@ -128,28 +136,20 @@ def run_data_tests(
 ) -> DataFrame:
     """One row per test: failures, severity and status (pass, warn or error).
 
-    All row-wise tests of a model share one scan; the others each aggregate a
-    single column.
+    All tests of a model but those for unique values share one scan and one aggregate;
+    those read their column only.
     """
     results = None
     for model, frame in models.items():
         mine = [t for t in tests if t.model == model]
         parts = []
-        by_row = {f"_{i}": t for i, t in enumerate(mine) if _row_failures(t) is not None}
-        if by_row:
-            counts = frame.agg(*(_row_failures(t).alias(name) for name, t in by_row.items()))
-            rows = F.array(*(_result(t, F.col(name)) for name, t in by_row.items()))
+        counted = {f"_{i}": (t, c) for i, t in enumerate(mine) if (c := _failures(t, as_of, require_rows)) is not None}
+        if counted:
+            counts = frame.agg(*(count.alias(name) for name, (_, count) in counted.items()))
+            rows = F.array(*(_result(t, F.col(name)) for name, (t, _) in counted.items()))
             parts.append(counts.select(F.inline(rows)))
-        for test in mine:
-            if test.kind == "unique":
-                failing = failing_unique(frame, test.column)
-            elif test.kind == "accepted_values":
-                failing = failing_accepted_values(frame, test.column, test.values)
-            elif test.kind == "freshness":
-                failing = failing_freshness(frame, as_of, require_rows=require_rows)
-            else:
-                continue
-            count = failing.agg(F.count("*").alias("_n"))
+        for test in (t for t in mine if t.kind == "unique"):
+            count = failing_unique(frame, test.column).agg(F.count("*").alias("_n"))
             parts.append(count.select(F.inline(F.array(_result(test, F.col("_n"))))))
         for part in parts:
             results = part if results is None else results.unionByName(part)

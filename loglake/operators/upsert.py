@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from loglake.operators.reducer import key_filter, split_by_filter
+
 
 def without_keys(target: DataFrame, keys: DataFrame, key: str = "event_id") -> DataFrame:
     """Target rows whose key is not in ``keys``.
@@ -15,6 +17,21 @@ def without_keys(target: DataFrame, keys: DataFrame, key: str = "event_id") -> D
     return keyed.unionByName(target.where(F.col(key).isNull()))
 
 
+def without_few_keys(target: DataFrame, keys: DataFrame, key: str = "event_id") -> DataFrame:
+    """The same for a target with many more keys than ``keys``, which is read twice.
+
+    Only rows whose key may be among the others are shuffled (see ``reducer``).
+    """
+    suspects, others = split_by_filter(target, key, key_filter(keys, key))
+    return suspects.join(keys.select(key), key, "left_anti").unionByName(others)
+
+
+def with_few_keys(target: DataFrame, keys: DataFrame, key: str = "event_id") -> DataFrame:
+    """Target rows whose key is in ``keys``, likewise."""
+    suspects, _ = split_by_filter(target, key, key_filter(keys, key))
+    return suspects.join(keys.select(key), key, "left_semi")
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataFrame:
     """Replace matched rows, insert the rest. ``source`` has one row per key."""
     return without_keys(target, source, key).unionByName(source, allowMissingColumns=True)
@@ -32,7 +49,9 @@ def not_set_back(source: DataFrame, target: DataFrame, key: str = "event_id") ->
         F.col(key).alias("_key"), F.struct(*version).alias("_version")
     )
     newer = (F.col(key) == F.col("_key")) & (F.col("_version") > F.struct(*version))
-    keyed = source.where(F.col(key).isNotNull()).join(held, newer, "left_anti")
+    few = key_filter(source, key)
+    held, _ = split_by_filter(held.withColumnRenamed("_key", key), key, few)
+    keyed = source.where(F.col(key).isNotNull()).join(held.withColumnRenamed(key, "_key"), newer, "left_anti")
     arrivals = target.where(F.col(key).isNull()).select(
         F.col("_source_file").alias("_file"), F.col("_ingested_at").alias("_at")
     )

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from itertools import islice
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from loglake.contract import (
     MAX_LATENCY_MS,
@@ -60,6 +60,7 @@ from loglake.sources.tables import (
     read_if_exists,
     read_run,
     read_silver,
+    schema_change,
     scratch_table,
     stage_batch,
     stop_if_breaking,
@@ -204,15 +205,18 @@ def _ingest_files(
     require_event_columns(raw)
     rows = bronze_rows(raw, ingested_at)
     existing = table_schema(spark, bronze_path)
-    changed = () if existing is None else _described(changed_fields(spark, _raw_part(existing), _raw_part(rows.schema)))
-    stop_if_breaking(spark, existing, rows.schema, bronze_path)
+    changed = ()
+    if schema_change(spark, existing, rows.schema) != "none":
+        stop_if_breaking(spark, existing, rows.schema, bronze_path)
+        changed = _described(changed_fields(spark, existing, rows.schema))
     run = begin_run(spark, bronze_path)
+    observed = Observation()
+    rows = rows.observe(observed, F.count(F.lit(1)).alias("rows"))
     change = append_with_evolution(rows, bronze_path, BRONZE_PARTITIONS, run)
     counts = _counts_of_run(spark, bronze_path, run, ingested_at)
     files = spark.createDataFrame([(name,) for name in names], "_source_file string")
-    entries = scratch_table(files.join(counts, "_source_file", "left").fillna(0, ["rows"]), "ledger-entries")
-    close_run(entries, bronze_path, run)
-    return (change, changed), entries.agg(F.sum("rows")).first()[0]
+    close_run(files.join(counts, "_source_file", "left").fillna(0, ["rows"]), bronze_path, run)
+    return (change, changed), observed.get["rows"]
 
 
 def _counts_of_run(spark: SparkSession, bronze_path: str, run: str, ingested_at: datetime) -> DataFrame:
@@ -286,7 +290,7 @@ def bronze_to_silver(
     passed, report, summary = check_batch(batch, ids_are_unique=True, **limits)
     logger.info("quality report:\n%s", summary)
     if not passed:
-        append_new_rows(batch, quarantine_path, ("_source_file", "event_id", "_ingested_at"))
+        append_new_rows(batch, quarantine_path)
         raise QualityGateError(report, summary)
 
     if again:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from loglake.operators.percentiles import latency_counts, recount, request_profile
 from loglake.operators.ranking import rank_by_count
 
+SKETCH_PRECISION = 14
 ERRORS = ("server_errors", "client_errors")
 
 
@@ -33,6 +34,24 @@ def daily_facts(counts: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
+def daily_user_sketches(logs: DataFrame, precision: int = SKETCH_PRECISION) -> DataFrame:
+    """One sketch of the users of each day (2**precision bytes at most), beside the exact counts.
+
+    Sketches merge, so the users of any span of days come from as many small rows, without the
+    logs; see ``users_of_span``. At the default precision the standard error is 0.8 per cent.
+    """
+    return logs.groupBy("event_date").agg(F.hll_sketch_agg("user_id", precision).alias("users"))
+
+
+def users_of_span(sketches: DataFrame, first: Column | None = None, last: Column | None = None) -> DataFrame:
+    """One row: about how many users the days from ``first`` to ``last`` have together."""
+    if first is not None:
+        sketches = sketches.where(F.col("event_date") >= first)
+    if last is not None:
+        sketches = sketches.where(F.col("event_date") <= last)
+    return sketches.agg(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("users")), F.lit(0)).alias("unique_users"))
+
+
 def fct_requests_daily(logs: DataFrame) -> DataFrame:
     """One row per day.
 

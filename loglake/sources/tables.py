@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from loglake.contract import SILVER_SCHEMA, SchemaEvolutionError
 from loglake.operators.schema_diff import classify, fields, schema_diff
-from loglake.operators.upsert import without_keys
+from loglake.operators.upsert import with_few_keys, without_few_keys
 from loglake.session import shared_folder
 
 
@@ -171,16 +171,19 @@ def read_run(spark: SparkSession, path: str, run: str, day_column: str, day: dat
     return rows.where(F.col("_run") == run)
 
 
-def append_new_rows(df: DataFrame, path: str, identity: Sequence[str]) -> None:
-    """Append the rows the table does not hold yet, compared null-safely on ``identity``."""
+def append_new_rows(df: DataFrame, path: str, arrived: str = "_ingested_at") -> None:
+    """Append the rows the table does not hold yet, as often as the batch has more of them.
+
+    The table is laid out by day of arrival, and only the days of the batch are read. Rows
+    are compared whole, so a batch that comes again adds nothing, and rows that are alike
+    within a batch are all kept.
+    """
+    rows = df.withColumn("_arrival_date", F.to_date(arrived))
     held = read_appended(df.sparkSession, path)
     if held is not None:
-        seen = held.select(*(F.col(c).alias(f"_{c}") for c in identity)).distinct()
-        same = F.lit(True)
-        for c in identity:
-            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-        df = df.join(seen, same, "left_anti")
-    append_with_evolution(df, path)
+        days = [r[0] for r in rows.select("_arrival_date").distinct().collect()]
+        rows = rows.exceptAll(held.where(on_days("_arrival_date", days)).select(*rows.columns))
+    append_with_evolution(rows, path, ["_arrival_date"])
 
 
 # --- silver ------------------------------------------------------------------
@@ -189,7 +192,7 @@ def append_new_rows(df: DataFrame, path: str, identity: Sequence[str]) -> None:
 #
 # A run writes its rows to directories of its own and rewrites only those
 # directories of earlier runs that hold rows it replaces. Everything it will
-# write is first staged in <path>/_staging and then marked pending; applying
+# write is first staged in <path>_staging and then marked pending; applying
 # it overwrites whole directories, so it may be repeated after a crash.
 
 _STORED_SCHEMA = T.StructType([*SILVER_SCHEMA.fields, T.StructField("_run", T.StringType())])
@@ -203,8 +206,8 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def staging_folder(path: str) -> str:
-    """Beside the table's rows, so that whoever finds the table finds what is pending."""
-    return f"{path.rstrip('/')}/_staging"
+    """Beside the table, so that whoever finds the table finds what is pending."""
+    return f"{path.rstrip('/')}_staging"
 
 
 def stage_batch(batch: DataFrame, path: str, name: str = "batch") -> DataFrame:
@@ -248,18 +251,19 @@ def upsert_staged(spark: SparkSession, path: str, event_times_fixed: bool = Fals
         stored = spark.createDataFrame([], _STORED_SCHEMA)
     keys = staged.where(F.col("event_id").isNotNull()).select("event_id")
 
-    # Which directories hold rows to be replaced: reads the ids of the table only.
+    # Which directories hold rows to be replaced: reads the ids of the table only, and of
+    # these only such as the batch may have are shuffled.
     if event_times_fixed:
         days = [r.ingest_date for r in staged.select("ingest_date").distinct().collect()]
         stored = stored.where(on_days("ingest_date", days))
-    held = stored.select("event_id", *_DIRECTORY).join(keys, "event_id", "left_semi")
+    held = with_few_keys(stored.select("event_id", *_DIRECTORY), keys)
     held.select(*_DIRECTORY).distinct().write.mode("overwrite").parquet(f"{folder}/rewritten")
     rewritten = spark.read.schema(_DIRECTORY_SCHEMA).parquet(f"{folder}/rewritten")
     names = [r.name for r in rewritten.select(_directory().alias("name")).collect()]
 
     # What stays in them. The predicate is on partition columns, so nothing else is read.
     touched = stored.where(_directory().isin(names) if names else F.lit(False))
-    without_keys(touched, keys).write.mode("overwrite").parquet(f"{folder}/kept")
+    without_few_keys(touched, keys).write.mode("overwrite").parquet(f"{folder}/kept")
 
     _mark(spark, path, "pending", f"r{uuid.uuid4().hex}")
     apply_pending(spark, path)

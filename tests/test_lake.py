@@ -316,6 +316,18 @@ def test_failed_batch_is_quarantined_once_and_blocks(lake):
     assert lake.rows("event_id") == [("e_1",), ("e_3",)]
 
 
+def test_quarantine_keeps_repeats_of_a_batch_and_reads_its_days_only(spark, tmp_path, silver_rows):
+    path = f"{tmp_path}/quarantine"
+    alike = {"event_id": "a", "status_code": 9999}
+    batch = silver_rows(alike, alike, {"event_id": None}, {"event_id": None}, {"event_id": "b", "_ingested_at": T1})
+    for rows in (batch, batch, silver_rows(alike, alike, alike, {"_ingested_at": utc("2024-02-03T00:00:00")})):
+        tables.append_new_rows(rows, path)
+    held = tables.read_appended(spark, path)
+    assert sorted(str(r.event_id) for r in held.collect()) == ["None", "None", "a", "a", "a", "b", "e_3"]
+    plan = held.where(tables.on_days("_arrival_date", [T0.date()]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_arrival_date" in plan
+
+
 def test_backfill_of_a_window_changes_nothing_that_is_right(lake):
     for n, at in enumerate((T0, T1, T2)):
         lake.put(f"{n}.jsonl", *(event(i) for i in range(n * 5, n * 5 + 6)))

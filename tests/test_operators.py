@@ -265,3 +265,32 @@ def test_running_totals_before_a_row(spark):
         expected = [total(x) if (x := [v for v in in_order[:i] if v is not None]) else None for i in range(400)]
         assert [r.before for r in rows] == expected and [r.v for r in rows] == in_order
         assert scan(df.where("false"), "k", "v", "before").count() == 0
+
+
+def test_key_filter_never_loses_a_key(spark):
+    from loglake.operators.reducer import key_filter, split_by_filter
+    from loglake.operators.upsert import with_few_keys, without_few_keys
+
+    keys = spark.range(0, 3000, 3).selectExpr("cast(id as string) event_id")
+    target = spark.range(0, 60_000).selectExpr("if(id % 1000 = 1, null, cast(id as string)) event_id", "id n")
+    may, not_in = split_by_filter(target, "event_id", key_filter(keys, "event_id"))
+    assert may.join(keys, "event_id", "left_semi").count() == 999 and may.count() < 1200
+    assert may.count() + not_in.count() == 60_000
+    crowded = split_by_filter(target, "event_id", key_filter(keys, "event_id", 2), 2)
+    assert crowded[0].join(keys, "event_id", "left_semi").count() == 999
+    assert with_few_keys(target, keys).count() == 999
+    rest = without_few_keys(target, keys)
+    assert rest.count() == 59_001 and rest.where("event_id IS NULL").count() == 60
+    nothing = keys.where("false")
+    assert with_few_keys(target, nothing).count() == 0 and without_few_keys(target, nothing).count() == 60_000
+
+
+def test_sketches_of_users_merge(spark):
+    from loglake.plans.marts import daily_user_sketches, users_of_span
+
+    rows = spark.range(40_000).selectExpr("date_add(date'2024-01-01', cast(id % 4 as int)) event_date", "concat('u', id % 10000) user_id")
+    sketches = daily_user_sketches(rows)
+    day = F.lit("2024-01-02").cast("date")
+    assert abs(users_of_span(sketches).first().unique_users - 10_000) < 300
+    assert abs(users_of_span(sketches, day, day).first().unique_users - 2500) < 75
+    assert users_of_span(sketches.where("false")).first().unique_users == 0

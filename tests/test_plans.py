@@ -81,3 +81,17 @@ def test_days_prune_silver(silver):
     text = plan(silver.where(tables.on_days("ingest_date", [day, None])))
     assert re.search(r"PartitionFilters: \[.*ingest_date#\d+", text)
     assert "PushedFilters" not in text or "ingest_date" not in text.split("PushedFilters")[1].split("\n")[0]
+
+
+def test_tests_of_a_model_share_a_scan(silver):
+    from loglake.operators.datatests import run_data_tests
+
+    results = run_data_tests({"stg_logs": stg_logs(silver)}, utc("2024-01-31T00:00:00"))
+    assert sorted(map(len, reads(results))) == [1, 4]
+
+
+def test_ids_of_silver_are_reduced_before_they_are_shuffled(spark, silver):
+    from loglake.operators.upsert import with_few_keys
+
+    text = plan(with_few_keys(silver.select("event_id", "ingest_date"), silver.limit(5).select("event_id")))
+    assert "BroadcastHashJoin LeftOuter" in text
