@@ -94,11 +94,16 @@ def gram_hash(values: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     return mix(total)
 
 
-def minima(values: np.ndarray, starts: np.ndarray, count: int, seed: int = 5) -> np.ndarray:
-    """MinHash: for each group of values the minima of `count` multiply-add hashes, (groups, count)."""
+def minhash_functions(count: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts of multiply-add hashes of 32 bits."""
     rng = np.random.default_rng(seed)
     factors = rng.integers(0, 2**31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    shifts = rng.integers(0, 2**32, count, dtype=np.uint32)
+    return factors, rng.integers(0, 2**32, count, dtype=np.uint32)
+
+
+def minima(values: np.ndarray, starts: np.ndarray, count: int, seed: int = 5) -> np.ndarray:
+    """MinHash: for each group of values the minima of `count` multiply-add hashes, (groups, count)."""
+    factors, shifts = minhash_functions(count, seed)
     folded = (values >> np.uint64(32)).astype(np.uint32)
     result = np.empty((count, len(starts)), np.uint32)
     for i in range(count):
