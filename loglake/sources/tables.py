@@ -13,6 +13,7 @@ import json
 import uuid
 from collections.abc import Sequence
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -377,3 +378,14 @@ def write_table(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and go on from there."""
     return write_table(df, f"{shared_folder(df.sparkSession)}/loglake-scratch/{name}-{uuid.uuid4().hex}")
+
+
+def clear_scratch(table: DataFrame) -> None:
+    """Leave no rows of a scratch table that nothing will be read from any more.
+
+    What was made of it must be stored by then, or a lost executor could not be made up for.
+    """
+    files = table.inputFiles()
+    if files:
+        nothing = table.sparkSession.createDataFrame([], table.schema)
+        nothing.write.mode("overwrite").parquet(unquote(files[0].rsplit("/", 1)[0]))
