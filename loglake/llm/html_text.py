@@ -3,8 +3,8 @@
 A page becomes a tree of elements. Of each, the composite density is the number of characters
 a tag carries, adjusted for how much of them are link text; a node's score is the sum of its
 children's densities, and the node with the largest score holds the article. The threshold is the
-least density on the path from the body to that node: parts of it that fall below it carry
-less text than what surrounds the article and are left out.
+least density on the path from the body to that node: what is at least as dense belongs to the article too,
+and lists of links that fall below it do not.
 
 What a page marks as something else (navigation, forms, comments, notices, ...) goes first,
 by element and by the words of its class and id.
@@ -59,7 +59,10 @@ ASIDE_WORDS = frozenset(
 #: Asides outside an article, titles and the like within one.
 HEADER_WORDS = frozenset("header head hero top".split())
 ARTICLES = ("article", "main")
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+#: Blocks that hold a paragraph of an article, not an article.
+PARAGRAPHS = frozenset("address blockquote br caption dd dt figcaption figure h1 h2 h3 h4 h5 h6 hr li p pre summary td th tr".split())
+_NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
+_PLAIN = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden|itemprop)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/]|$)", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
@@ -97,58 +100,128 @@ def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+class _Tags:
+    """Tags and comments of a page in one forward scan: (start, end, closing, name, attributes), name None for what is no tag.
+
+    A quoted `>` does not end a tag. Once a tag is open to the end of the page, its quotes are broken: from
+    there on the next `>` ends a tag, quoted or not.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page, self.quotes = page, True
+
+    def _end(self, at: int) -> int:
+        """Where the tag whose attributes begin at `at` has its `>`; -1 if nowhere."""
+        page, begin = self.page, at
+        while self.quotes:
+            at = _PLAIN.match(page, at).end()
+            if at < len(page) and page[at] == ">":
+                return at
+            closed = page.find(page[at], at + 1) if at < len(page) else -1
+            self.quotes = closed >= 0
+            at = closed + 1
+        return page.find(">", begin)
+
+    def after(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """The first tag or comment that starts at `at` or behind it."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at) or page.startswith("<![CDATA[", at):
+                last = "-->" if page.startswith("<!--", at) else "]]>"
+                end = page.find(last, at + 4)
+                return at, end + 3 if end >= 0 else len(page), False, None, ""
+            if page[at + 1 : at + 2] in ("!", "?"):
+                return at, page.find(">", at) + 1 or len(page), False, None, ""
+            name = _NAME.match(page, at)
+            if name:
+                end = self._end(name.end())
+                if end < 0:  # no further tag ends
+                    return None
+                return at, end + 1, page[at + 1] == "/", name[1].lower(), page[name.end() : end]
+            at += 1
+        return None
+
+
+class _Open:
+    """The open elements, the innermost last, and where those of a kind are among them."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        for kind in self._kinds(node.name):
+            self.places.setdefault(kind, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Closes the element at a depth and all inside it."""
+        while len(self.stack) > depth:
+            for kind in self._kinds(self.stack.pop().name):
+                self.places[kind].pop()
+
+    def last(self, kind: str) -> int:
+        """Depth of the innermost element of a name or kind; 0 if none is open."""
+        places = self.places.get(kind)
+        return places[-1] if places else 0
+
+    @staticmethod
+    def _kinds(name: str) -> Iterator[str]:
+        yield name
+        if name in SCOPES:
+            yield "*scope"
+        if name in BLOCKS or name == "head":
+            yield "*block"
+        if name in ARTICLES:
+            yield "*article"
+
+
 def parse(page: str) -> Node:
-    """The tree of a page. Missing and misplaced end tags are mended as browsers do."""
+    """The tree of a page, in time linear in its size. Missing and misplaced end tags are mended as browsers do."""
     root = Node("html")
-    stack = [root]
+    tags, opened = _Tags(page), _Open(root)
+    holding: set[int] = set()  # elements known to hold an article
+    unclosed: set[str] = set()
     at = 0
-    for match in _TAG.finditer(page):
-        if match.start() < at:
-            continue  # inside text that is not markup
-        if match.start() > at:
-            stack[-1].children.append(page[at : match.start()])
-        at = match.end()
-        end, name = match[2], match[3]
+    while found := tags.after(at):
+        start, stop, closing, name, attributes = found
+        if start > at:
+            opened.stack[-1].children.append(page[at:start])
+        at = stop
         if name is None:
             continue
-        name = name.lower()
-        if end:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
-                    break
-                if stack[depth].name in SCOPES and name not in ("table", "body", "html", "tr", "tbody"):
-                    break
+        if closing:
+            depth = opened.last(name)
+            if depth and (depth >= opened.last("*scope") or name in ("table", "body", "html", "tr", "tbody")):
+                opened.cut(depth)
             continue
-        if name in ("html", "body") and any(n.name == name for n in stack):
+        if name == "html" or (name == "body" and opened.last("body")):
             continue
         if name in BLOCKS or name in ENDED_BY:
-            for depth in range(len(stack) - 1, 0, -1):
-                open_name = stack[depth].name
-                if name in ENDED_BY.get(open_name, ()):
-                    del stack[depth:]
-                    break
-                if open_name in BLOCKS:
-                    break
-        node = Node(name, _is_aside(name, match[4], any(n.name in ARTICLES for n in stack)))
+            depth = opened.last("*block")
+            if depth and name in ENDED_BY.get(opened.stack[depth].name, ()):
+                opened.cut(depth)
+        node = Node(name, _is_aside(name, attributes, opened.last("*article") > 0))
         if name in ARTICLES and not node.aside:
-            for outer in stack:  # what holds the article is no aside, whatever its class says
+            for outer in reversed(opened.stack):  # what holds an article is no aside, whatever its class says
+                if id(outer) in holding:
+                    break
+                holding.add(id(outer))
                 outer.aside = outer.aside and outer.name in OUTSIDE
-        stack[-1].children.append(node)
+        opened.stack[-1].children.append(node)
         if name in RAW:
-            closing = re.compile(rf"</{re.escape(name)}\s*>|</{re.escape(name)}\s", re.IGNORECASE).search(page, at)
-            if closing:
-                node.children.append(page[at : closing.start()])
-                at = page.find(">", closing.start()) + 1 or len(page)
-            elif name != "noscript":
+            end = None if name in unclosed else re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(page, at)
+            if end:
+                node.children.append(page[at : end.start()])
+                at = page.find(">", end.start()) + 1 or len(page)
+            elif name == "noscript":
+                unclosed.add(name)
+            else:
                 node.children.append(page[at:])
                 at = len(page)
-        elif name not in VOID and not match[4].rstrip().endswith("/"):
-            stack.append(node)
-        elif name not in VOID and name in BLOCKS:
-            stack.append(node)
+        elif name not in VOID and (name in BLOCKS or not attributes.rstrip().endswith("/")):
+            opened.push(node)
     if at < len(page):
-        stack[-1].children.append(page[at:])
+        opened.stack[-1].children.append(page[at:])
     return root
 
 
@@ -197,12 +270,14 @@ def measure(body: Node) -> list[Node]:
     return order
 
 
-def content_nodes(body: Node) -> set[int]:
-    """Ids of the nodes whose subtrees are the article.
+def content_nodes(body: Node) -> tuple[set[int], set[int]]:
+    """Ids of the nodes whose subtrees are the article, and of nodes in them that are not.
 
-    The node with the largest sum holds it, with the article element around, if there is one.
-    The least density on the path from there to the body is the threshold: of every
-    other node at least as dense, the subtree with the largest sum belongs to the article too.
+    The node with the largest sum is the densest part. If it is no more than a paragraph, what
+    holds the paragraph is taken, and with it an article element around. The least density on
+    the path from the densest part to the body is the threshold. Of every other node at least
+    as dense, the subtree with the largest sum belongs to the article too, whatever it is in; lists of
+    links below the threshold do not, wherever they are.
     """
     order = measure(body)
     best = max(order, key=lambda n: n.score)
@@ -211,14 +286,21 @@ def content_nodes(body: Node) -> set[int]:
     while id(path[-1]) in parents:
         path.append(parents[id(path[-1])])
     threshold = min(n.density for n in path)
-    article = next((n for n in path if n.name in ARTICLES), None)
-    if article is not None:  # outside an article element nothing belongs to it
-        return {id(article)}
+    holder = next((n for n in path if n.name in BLOCKS and n.name not in PARAGRAPHS), path[-1])
+    around = next((n for n in path if n.name in ARTICLES), holder)
     largest: dict[int, Node] = {}
     for node in reversed(order):  # children first
         below = (largest[id(c)] for c in node.children if isinstance(c, Node) and not c.aside)
         largest[id(node)] = max([node, *below], key=lambda n: n.score)
-    return {id(best)} | {id(largest[id(n)]) for n in order if n.density >= threshold and n.density}
+    wanted = {id(n) for n in (best, holder, around)}
+    wanted |= {id(largest[id(n)]) for n in order if n.density >= threshold and n.density}
+    held = {id(n) for n in path} | wanted
+    lists = {
+        id(n)
+        for n in order
+        if n.name in BLOCKS and id(n) not in held and n.link_tags > 1 and 2 * n.link_chars > n.chars and n.density < threshold
+    }
+    return wanted, lists
 
 
 def main_text(page: str) -> str:
@@ -227,7 +309,7 @@ def main_text(page: str) -> str:
         return ""
     root = parse(page)
     body = next((n for n in _order(root) if n.name == "body"), root)
-    wanted = content_nodes(body)
+    wanted, lists = content_nodes(body)
     blocks, current = [], []
 
     def end() -> None:
@@ -245,7 +327,7 @@ def main_text(page: str) -> str:
             if inside:
                 current.append(item)
         elif not item.aside:
-            inside = inside or id(item) in wanted
+            inside = (inside and id(item) not in lists) or id(item) in wanted
             if item.name in BLOCKS:
                 end()
                 todo.append((None, inside))

@@ -2,6 +2,7 @@
 
 import bisect
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -120,6 +121,44 @@ PAGES = [
 ]
 
 
+STORY = "<p>A paragraph of the story with a good many words in it, so that it is dense enough to be read.</p>"
+LINKS = "<ul>" + "".join(f"<li><a href=/{i}>Another story number {i}</a></li>" for i in range(5)) + "</ul>"
+READ = STORY[3:-4]
+#: Pages whose elements do not say what the article is: densities and the threshold do.
+DENSE = [
+    (f"<article><h1>T</h1>{STORY}{STORY}{LINKS}<p>end</p></article>", f"T {READ} {READ} end"),
+    (f"<article><h1>T</h1>{STORY * 2}</article><article>{STORY * 2}</article><article><h2><a href=1>Teaser</a></h2><a href=1>more</a></article>",
+     f"T {READ} {READ} {READ} {READ}"),
+    (f"<div><a href=1>one</a><a href=2>two</a></div><div><h1>T</h1>{STORY}<p>Short.</p>{STORY}</div><div><a href=1>x</a> | <a href=2>y</a></div>",
+     f"T {READ} Short. {READ}"),
+    (f"<div>{STORY * 2}</div><article><p>Tiny.</p></article>", f"{READ} {READ}"),
+    (f"<article><h2><a href=1>Linked title</a></h2>{STORY}<p><a href=2>One link</a></p></article>", f"Linked title {READ} One link"),
+    ("<ul><li><a href=1>only</a><li><a href=2>links</a></ul>", "only links"),
+]
+
+
+@pytest.mark.parametrize(("body", "text"), DENSE)
+def test_densities_choose_the_article(body, text):
+    assert main_text(f"<html><body>{body}</body></html>") == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a '" * 20000, "<b <" * 20000, "<div>" * 20000, "<b>" * 20000 + "</x>" * 20000, "<div><table>" + "<b>" * 20000 + "</div>" * 20000,
+     "<article>" * 20000, "<noscript>" * 20000, "<b>" * 10000 + "<p>" * 20000],
+)
+def test_broken_markup_takes_linear_time(page):
+    begun = time.process_time()
+    main_text(page)
+    assert time.process_time() - begun < 3  # half a second, on a machine that has nothing else to do
+
+
+def test_quotes_in_tags():
+    assert main_text("<p title='a > b'>one</p><p title=\"c > d\">two</p>") == "one two"
+    assert main_text("<p>one<p title='>two</p>") == "one two"
+    assert main_text("<p>one <p title='two") == "one <p title='two"
+
+
 @pytest.mark.parametrize(("page", "text"), PAGES)
 def test_main_text(page, text):
     assert main_text(page) == text
