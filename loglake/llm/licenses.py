@@ -1,21 +1,22 @@
 """License scans by conditional compression.
 
-Texts with a cue (a word that license notices use) are cut into blocks around their cues.
-Each block is compressed alone and with every template as raw zstandard dictionary: the
+Texts with a cue (one of few words that every notice must have one of, worked out from the templates)
+are taken as words. The words around a cue that a template would need are a candidate block, blank lines
+and list marks or not. It is compressed alone and with the template as raw zstandard dictionary: the
 template that saves most explains the block best. Templates are tried in order of what they
 save, and the first whose wording is really there, word by word but for few differences, is
 reported with its place and the differences. If the differences touch what names a license or
 its version, it is another one: when no template fits, that is reported as an unknown variant.
-What is left of the block is tried again, cue by cue.
 
-Only texts with a cue leave the scan; nothing is shuffled.
+Only texts with a cue leave the scan; nothing is shuffled. Work is linear in the text.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence, Set
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -31,6 +32,8 @@ class Template(NamedTuple):
     text: str
 
 
+#: The family of licenses that begin with the sentence of the BSD conditions.
+BSD = "BSD"
 #: Customary wordings of public licenses.
 TEMPLATES = (
     Template("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
@@ -45,7 +48,7 @@ TEMPLATES = (
     ),
     Template("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     Template(
-        "BSD-3-Clause",
+        BSD,
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met",
     ),
@@ -86,14 +89,37 @@ TEMPLATES = (
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ),
     Template("Unlicense", "This is free and unencumbered software released into the public domain."),
+    Template("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    Template(
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this "
+        "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    Template(
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this "
+        "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+    ),
+    Template(
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and "
+        "this permission notice shall be included in all copies or substantial portions of the Software.",
+    ),
 )
-#: A word that each of the wordings has.
-CUE = r"(?i)licen[sc]e|copyright|permission|permitted|redistribut|public domain|creative commons"
-#: Code points around a cue that belong to its block; a notice longer than that has more cues.
-REACH = 600
 #: Share of a template's words that must be there, in order; words of it that may be missing, changed or added.
 COVERAGE = 0.85
 LEVEL = 19
+#: Letters of a word that may be a cue, if a template has enough of them.
+CUE_LETTERS = 6
 #: License of a notice that is worded like a template but names something else.
 UNKNOWN = "unknown variant"
 #: Words that name a license: a template's own must be there, others may not come in.
@@ -110,6 +136,8 @@ QUALIFIERS = NAMES - frozenset("by cc commons creative general public universal"
 )
 _VERSION = re.compile(r"v?(\d{1,2}(?:\.\d+)*?)(?:\.0)*(-clause)?")
 _WORD = re.compile(r"\w+(?:[.\-]\w+)*")
+#: The number of an item of a list, which is no version.
+_LIST_MARK = re.compile(r"(?:^|[.:;\n])\s{0,40}(?:[*#/-]{1,4}\s{0,40})?\(?(\d{1,2})[.)](?=\s)")
 FOUND = "license string, template int, start long, end long, saved int, coverage double, differences array<string>"
 
 
@@ -119,10 +147,53 @@ def _spelled(word: str) -> str:
     return version[1] + (version[2] or "") if version else word
 
 
+class _Word(NamedTuple):
+    word: str
+    spelled: str
+    start: int
+    end: int
+
+
+def _words(text: str) -> list[_Word]:
+    marks = {m.start(1) for m in _LIST_MARK.finditer(text)}
+    found = ((m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text) if m.start() not in marks)
+    return [_Word(w, _spelled(w) if w[-1].isdigit() or w.endswith("-clause") else w, a, b) for w, a, b in found]
+
+
+def cue_words(templates: Sequence[Template]) -> list[str]:
+    """Words of which every notice has one: of each template more than may be missing.
+
+    Words that most templates have come first, so that they are few.
+    """
+    given = [[w.spelled for w in _words(t.text)] for t in templates]
+    common = Counter(w for words in given for w in set(words))
+    cues: set[str] = set()
+    for template, words in zip(templates, given, strict=True):
+        if not words:
+            raise ValueError(f"a template of {template.license} has no words")
+        share = Counter(words)
+        missing = len(words) * (1 - COVERAGE) - sum(share[w] for w in cues & share.keys())
+        for word in sorted(share, key=lambda w: (len(w) < CUE_LETTERS or not w.isalpha(), -common[w], -len(w), w)):
+            if missing < 0:
+                break
+            if word not in cues:
+                cues.add(word)
+                missing -= share[word]
+    return sorted(cues)
+
+
 class _Scanner:
     def __init__(self, templates: Sequence[Template]) -> None:
-        self.templates = templates
-        self.words = [[w.lower() for w in _WORD.findall(t.text)] for t in templates]
+        self.templates, self.cues = templates, frozenset(cue_words(templates))
+        own = [_words(t.text) for t in templates]
+        self.words = [[w.word for w in words] for words in own]
+        self.spelled = [[w.spelled for w in words] for words in own]
+        self.shares = [Counter(words) for words in self.spelled]
+        #: Where a cue is in the templates: (template, its places there).
+        self.places: dict[str, list[tuple[int, list[int]]]] = {
+            cue: [(i, [p for p, w in enumerate(words) if w == cue]) for i, words in enumerate(self.spelled) if cue in words]
+            for cue in self.cues
+        }
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.given, self.sizes = [], []
         for template in templates:
@@ -131,56 +202,47 @@ class _Scanner:
             self.given.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary))
             self.sizes.append(len(self.plain.compress(content)))
 
-    def blocks(self, text: str) -> list[tuple[int, int]]:
-        """Stretches around cues, within paragraphs; those that meet are one."""
-        found: list[tuple[int, int]] = []
-        for cue in re.finditer(CUE, text):
-            start = max(text.rfind("\n\n", 0, cue.start()) + 1, cue.start() - REACH)
-            end = text.find("\n\n", cue.end())
-            end = min(end if end >= 0 else len(text), cue.end() + REACH)
-            if found and start <= found[-1][1]:
-                found[-1] = (found[-1][0], max(end, found[-1][1]))
-            else:
-                found.append((start, end))
-        return found
+    def enough(self, template: int, words: Set[str]) -> bool:
+        """Whether as many words of a template as it needs are among the words."""
+        share = self.shares[template]
+        return sum(n for w, n in share.items() if w in words) >= COVERAGE * len(self.spelled[template])
 
-    def ranked(self, block: str, cue: re.Match) -> list[tuple[int, int]]:
-        """(bytes saved, template), the best first; of equal savings the shorter template.
+    def window(self, words: list[_Word], floor: int, start: int, template: int) -> tuple[int, int]:
+        """The words that may hold a template that starts at `start`, if few are added or missing."""
+        size = len(self.words[template])
+        slack = max(2, size // 4)
+        return max(floor, start - slack), min(len(words), start + size + slack)
 
-        Each template is given what of the block may hold it: as much as its length and a
-        quarter on either side of the cue.
-        """
+    def ranked(self, text: str, words: list[_Word], floor: int, cue: int, possible: Set[int]) -> list[tuple[int, int, list[tuple[int, int]]]]:
+        """(bytes saved, template, windows), the best first; of equal savings the shorter template."""
         saved = []
-        for i, template in enumerate(self.templates):
-            reach = len(template.text) * 5 // 4 + 8
-            data = block[max(0, cue.start() - reach) : cue.end() + reach].lower().encode()
-            saved.append((len(self.plain.compress(data)) - len(self.given[i].compress(data)), i))
+        for i, places in self.places[words[cue].spelled]:
+            if i not in possible:
+                continue
+            windows = [self.window(words, floor, cue - p, i) for p in places]
+            windows = [(low, high) for low, high in windows if self.enough(i, {w.spelled for w in words[low:high]})]
+            if windows:
+                data = text[words[min(windows)[0]].start : words[max(high for _, high in windows) - 1].end].lower().encode()
+                saved.append((len(self.plain.compress(data)) - len(self.given[i].compress(data)), i, windows))
         return sorted((x for x in saved if x[0] > 0), key=lambda x: (-x[0], self.sizes[x[1]], x[1]))
 
-    def confirm(self, words: list[tuple[str, int, int]], template: int) -> tuple[int, int, float, list[str]] | None:
-        """First and last word, share of the template's words, and differences; None if too many."""
+    def confirm(self, words: list[_Word], low: int, high: int, cue: int, template: int) -> tuple[int, int, float, list[str]] | None:
+        """First and last word, share of the template's words, and differences; None if too many or the cue is outside."""
         wanted = self.words[template]
-        spelled, template_spelled = [_spelled(w) for w, _, _ in words], [_spelled(w) for w in wanted]
-        matcher = difflib.SequenceMatcher(None, spelled, template_spelled, autojunk=False)
-        longest = matcher.find_longest_match()
-        if not longest.size:
-            return None
-        # The template's place in the block, if nothing were added or missing, with some slack.
-        slack = max(2, len(wanted) // 4)
-        low = max(0, longest.a - longest.b - slack)
-        high = min(len(words), longest.a - longest.b + len(wanted) + slack)
-        matcher = difflib.SequenceMatcher(None, spelled[low:high], template_spelled, autojunk=False)
+        matcher = difflib.SequenceMatcher(None, [w.spelled for w in words[low:high]], self.spelled[template], autojunk=False)
         same = [m for m in matcher.get_matching_blocks() if m.size]
         coverage = sum(m.size for m in same) / len(wanted)
+        if coverage < COVERAGE:
+            return None
         first, last = low + same[0].a, low + same[-1].a + same[-1].size
+        if not first <= cue < last or last - first > len(wanted) / COVERAGE:
+            return None
         differences = []
         for kind, a, b, c, d in matcher.get_opcodes():
             inside = first <= low + a and low + b <= last
             if kind != "equal" and (inside or d > c):
-                added = [w for w, _, _ in words[low + a : low + b]] if inside else []
+                added = [w.word for w in words[low + a : low + b]] if inside else []
                 differences.append(" ".join([*(f"-{w}" for w in wanted[c:d]), *(f"+{w}" for w in added)]))
-        if coverage < COVERAGE or last - first > len(wanted) / COVERAGE:
-            return None
         return first, last - 1, coverage, differences
 
     def names_another(self, template: int, differences: Sequence[str]) -> bool:
@@ -196,18 +258,17 @@ class _Scanner:
         return False
 
     def scan(self, text: str) -> list[tuple]:
-        found = []
-        todo = self.blocks(text)[::-1]
-        while todo:
-            start, end = todo.pop()
-            block = text[start:end]
-            cue = re.search(CUE, block)
-            if not cue:
+        words = _words(text)
+        vocabulary = {w.spelled for w in words}
+        possible = {i for i in range(len(self.templates)) if self.enough(i, vocabulary)}
+        found, floor = [], 0
+        for cue, word in enumerate(words if possible else ()):
+            if cue < floor or word.spelled not in self.cues:
                 continue
-            words = [(m[0].lower(), start + m.start(), start + m.end()) for m in _WORD.finditer(block)]
             best = None
-            for saved, template in self.ranked(block, cue):
-                there = self.confirm(words, template)
+            for saved, template, windows in self.ranked(text, words, floor, cue, possible):
+                tried = (self.confirm(words, low, high, cue, template) for low, high in windows)
+                there = max(filter(None, tried), key=lambda t: t[2], default=None)
                 if there and not self.names_another(template, there[3]):
                     best = (self.templates[template].license, template, saved, there)
                     break
@@ -215,12 +276,9 @@ class _Scanner:
                     best = (UNKNOWN, template, saved, there)
             if best:
                 license_, template, saved, (first, last, coverage, differences) = best
-                a, b = words[first][1], words[last][2]
-                found.append((license_, template, a, b, saved, coverage, differences))
-                todo += [(b, end), (start, a)]
-            else:
-                todo.append((start + cue.end(), end))
-        return sorted(found, key=lambda f: (f[2], f[3]))
+                found.append((license_, template, words[first].start, words[last].end, saved, coverage, differences))
+                floor = last + 1
+        return found
 
 
 def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
@@ -228,7 +286,7 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) ->
     end exclusive), saved (bytes), coverage (share of its words), differences (`-` words of the
     template that are not there, `+` others in their place).
 
-    Missing and empty texts have none; repeated rows have theirs each; other columns are left out.
+    Notices of a text do not overlap. Missing and empty texts have none; repeated rows have theirs each; other columns are left out.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -241,5 +299,6 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) ->
             names = ["doc_id", "license", "template", "start", "end", "saved", "coverage", "differences"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    cued = docs.select("doc_id", "text").where(F.col("text").rlike(CUE))
+    cue = "(?iu)" + "|".join(re.escape(w) for w in cue_words(templates))
+    cued = docs.select("doc_id", "text").where(F.col("text").rlike(cue))
     return cued.mapInArrow(scan, f"doc_id {kind}, {FOUND}")

@@ -1,6 +1,7 @@
 """URL filters, secrets, fingerprints, licenses and decontamination on awkward input."""
 
 import re
+import time
 
 from hypothesis import given, settings, strategies as st
 
@@ -179,6 +180,94 @@ def test_every_template_is_found_in_itself():
         assert [f[0] for f in found] == [template.license]
 
 
+PUBLISHED = """Licensed under the Apache License, Version 2.0 (the "License");
+you may {}use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+{} WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+CONDITIONS = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_notices_over_blank_lines():
+    scanner = licenses._Scanner(TEMPLATES)
+
+    def found(text):
+        return [(f[0], f[6]) for f in scanner.scan(text)]
+
+    assert found(PUBLISHED.format("not ", "WITHOUT")) == [("Apache-2.0", [])]
+    assert found(PUBLISHED.format("", "WITH ALL")) == [("Apache-2.0", ["-not", "-without +with +all"])]
+    assert found(CONDITIONS) == [("BSD-2-Clause", [])]
+    assert found(CONDITIONS + THIRD) == [("BSD-3-Clause", [])]
+    assert found(CONDITIONS.split("\n\n")[0]) == [("BSD", [])]
+    assert found(PUBLISHED.format("not ", "WITHOUT") + CONDITIONS + THIRD) == [("Apache-2.0", []), ("BSD-3-Clause", [])]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(range(len(TEMPLATES))), st.integers(0, 3), st.randoms(use_true_random=False)), max_size=4))
+def test_no_notice_is_missed(parts):
+    """Against every template at every word, cue or not."""
+    scanner = licenses._Scanner(TEMPLATES)
+    text = ["prose"]
+    for number, edits, rng in parts:
+        words = TEMPLATES[number].text.split(" ")
+        for _ in range(edits):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice([[], ["other"], [words[at], "more"]])
+        text += [*words, *["between"] * rng.randrange(4)]
+    words = licenses._words(" ".join(text))
+    notices = [(f[2], f[3]) for f in scanner.scan(" ".join(text))]
+    assert notices == sorted(notices) and all(a[1] <= b[0] for a, b in zip(notices, notices[1:], strict=False))
+    for template, size in enumerate(map(len, scanner.words)):
+        for start in range(len(words) - 1):
+            low, high = scanner.window(words, 0, start, template)
+            if not scanner.enough(template, {w.spelled for w in words[low:high]}):
+                continue
+            there = scanner.confirm(words, low, high, start, template)
+            if there:
+                first, last = words[there[0]].start, words[there[1]].end
+                assert any(a < last and first < b for a, b in notices), (template, size, first, last)
+
+
+def test_templates_of_ones_own(docs_of):
+    own = [licenses.Template("Own", "Nobody may ever sing these seven words")]
+    rows = scan_licenses(docs_of("a " * 50000 + own[0].text, "Nobody may sing", own[0].text, own[0].text), own).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.license, r.start) for r in rows] == [(0, "Own", 100000), (2, "Own", 0), (3, "Own", 0)]
+    try:
+        licenses.cue_words([licenses.Template("None", "...")])
+    except ValueError:
+        return
+    raise AssertionError
+
+
+def test_scan_is_linear_in_notices_and_cues():
+    scanner = licenses._Scanner(TEMPLATES)
+    for text, count in (("license " * 125000, 0), ("Released under the MIT License. " * 8000, 8000)):
+        begun = time.process_time()
+        assert len(scanner.scan(text)) == count
+        assert time.process_time() - begun < 5
+
+
 def test_odd_documents_and_items(spark, odd_docs, no_docs):
     items = spark.createDataFrame(
         [(1, "word"), (2, None), (3, ""), (None, "Quick brown FOX"), (4, "the quick brown fox jumps over the lazy dog and"), (4, "日本語")],
