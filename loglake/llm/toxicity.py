@@ -117,7 +117,8 @@ def teaching_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text and toxic (0 or 1) of the labelled documents that teach.
 
     At most TOXIC_ROWS and ORDINARY_ROWS labels are taken, so that they may be broadcast.
-    Labels without id or value are no labels; of several for a document the highest holds.
+    Labels without id or value are no labels; of several for a document the highest holds, of
+    several texts under an id the least, so there are no more rows than labels.
     """
     usable = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     one = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -126,7 +127,8 @@ def teaching_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for value, most in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS))
     ]
     taught = F.broadcast(picked[0].unionByName(picked[1]))
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(taught, "doc_id")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(taught, "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
 
 
 def _words(rows: DataFrame) -> DataFrame:

@@ -206,6 +206,16 @@ def test_held_out_labels_do_not_teach(spark, sf_dir):
     assert toxicity.fit_toxicity(docs, labels) == toxicity.fit_toxicity(docs, other)
 
 
+def test_a_label_teaches_once(spark, sf_dir):
+    """However many rows have its id, and whatever their texts are."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text")
+    again = docs.unionByName(docs).unionByName(docs.selectExpr("doc_id", "concat(text, ' again') AS text"))
+    once = toxicity.teaching_rows(docs, labels)
+    assert once.count() > 20
+    assert toxicity.teaching_rows(again, labels).exceptAll(once).isEmpty() and once.exceptAll(toxicity.teaching_rows(again, labels)).isEmpty()
+
+
 def test_toxicity_without_labels_and_on_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (8, 0), (None, 1), (2, None)], "doc_id long, toxic int")
     for given_labels in (labels, labels.limit(0)):
