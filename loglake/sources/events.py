@@ -148,11 +148,17 @@ def json_lines(rows: DataFrame) -> DataFrame:
 
 
 def write_json_files(numbered: DataFrame, path: str) -> None:
-    """One folder of JSON lines per batch, below one folder per half of the batches."""
+    """One folder of JSON lines per batch, below one folder per half of the batches.
+
+    Rows are gathered by batch first, so that the folders are dealt out over all tasks,
+    however few files the events are in, and a batch is in few files.
+    """
+    by = ("_half", "_batch")
     half = numbered.agg(F.max("arrival_no") / 2).scalar()
     rows = numbered.select("*", F.when(F.col("arrival_no") <= half, 1).otherwise(2).alias("_half"))
     (
         rows.select("_half", F.col("ingest_batch_id").alias("_batch"), _json(rows).alias("value"))
-        .write.partitionBy("_half", "_batch")
+        .hint("rebalance", *by)
+        .write.partitionBy(*by)
         .text(path)
     )

@@ -443,6 +443,16 @@ def test_listing_names_equal_the_names_of_rows(lake, spark):
     assert rows.select("_source_file").collect() == list_files(spark, path).collect()
 
 
+def test_a_batch_of_raw_files_is_written_by_one_task(spark, tmp_path):
+    rows = [(i, utc("2024-01-10T12:00:00"), i % 7, "view", 1.0, '{"k": 40}') for i in range(2000)]
+    table = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    numbered = events.numbered_logs(table.repartition(5))
+    events.write_json_files(numbered, f"{tmp_path}/raw")
+    files = [p for p in (tmp_path / "raw").rglob("part-*")]
+    assert len(files) == len({p.parent for p in files}) == numbered.select("ingest_batch_id").distinct().count()
+    assert spark.read.json(f"{tmp_path}/raw").count() == numbered.count()
+
+
 def test_absent_table_is_none_and_other_errors_show(spark, tmp_path):
     assert tables.read_appended(spark, f"{tmp_path}/none") is None
     assert tables.read_silver(spark, f"{tmp_path}/none") is None
