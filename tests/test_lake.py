@@ -443,6 +443,22 @@ def test_listing_names_equal_the_names_of_rows(lake, spark):
     assert rows.select("_source_file").collect() == list_files(spark, path).collect()
 
 
+def test_many_folders_are_listed_by_few_tasks(lake, spark):
+    for i in range(150):
+        lake.put(f"batch={i}/a.jsonl", event(i))
+    context, group = spark.sparkContext, f"listing {lake.raw}"
+    context.setJobGroup(group, "listing")
+    try:
+        files = list_files(spark, lake.raw.replace("[", "\\[").replace("]", "\\]"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= max(64, 4 * context.defaultParallelism)
+    assert files.count() == 150
+
+
 def test_a_batch_of_raw_files_is_written_by_one_task(spark, tmp_path):
     rows = [(i, utc("2024-01-10T12:00:00"), i % 7, "view", 1.0, '{"k": 40}') for i in range(2000)]
     table = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
