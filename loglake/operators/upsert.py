@@ -20,16 +20,18 @@ def without_keys(target: DataFrame, keys: DataFrame, key: str = "event_id") -> D
 def without_few_keys(target: DataFrame, keys: DataFrame, key: str = "event_id") -> DataFrame:
     """The same for a target with many more keys than ``keys``, which is read twice.
 
-    Only rows whose key may be among the others are shuffled (see ``reducer``).
+    Only rows whose key may be among the others are shuffled (see ``reducer``). The keys are
+    not broadcast: by the size of their files, of which one column is read, Spark would take
+    millions of them for a small table.
     """
     suspects, others = split_by_filter(target, key, key_filter(keys, key))
-    return suspects.join(keys.select(key), key, "left_anti").unionByName(others)
+    return suspects.join(keys.select(key).hint("merge"), key, "left_anti").unionByName(others)
 
 
 def with_few_keys(target: DataFrame, keys: DataFrame, key: str = "event_id") -> DataFrame:
     """Target rows whose key is in ``keys``, likewise."""
     suspects, _ = split_by_filter(target, key, key_filter(keys, key))
-    return suspects.join(keys.select(key), key, "left_semi")
+    return suspects.join(keys.select(key).hint("merge"), key, "left_semi")
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataFrame:
@@ -51,7 +53,8 @@ def not_set_back(source: DataFrame, target: DataFrame, key: str = "event_id") ->
     newer = (F.col(key) == F.col("_key")) & (F.col("_version") > F.struct(*version))
     few = key_filter(source, key)
     held, _ = split_by_filter(held.withColumnRenamed("_key", key), key, few)
-    keyed = source.where(F.col(key).isNotNull()).join(held.withColumnRenamed(key, "_key"), newer, "left_anti")
+    held = held.withColumnRenamed(key, "_key").hint("merge")  # not broadcast, as above
+    keyed = source.where(F.col(key).isNotNull()).join(held, newer, "left_anti")
     arrivals = target.where(F.col(key).isNull()).select(
         F.col("_source_file").alias("_file"), F.col("_ingested_at").alias("_at")
     )

@@ -95,3 +95,14 @@ def test_ids_of_silver_are_reduced_before_they_are_shuffled(spark, silver):
 
     text = plan(with_few_keys(silver.select("event_id", "ingest_date"), silver.limit(5).select("event_id")))
     assert "BroadcastHashJoin LeftOuter" in text
+
+
+def test_ids_of_a_batch_are_not_broadcast_by_the_size_of_its_files(silver):
+    from loglake.operators.upsert import not_set_back, with_few_keys, without_few_keys
+
+    ids = silver.select("event_id")
+    assert "SortMergeJoin LeftSemi" in plan(with_few_keys(ids, ids))
+    assert "SortMergeJoin LeftAnti" in plan(without_few_keys(silver, ids))
+    rows = not_set_back(silver, silver)
+    rows.collect()  # the plan as it ran, after Spark measured
+    assert "SortMergeJoin LeftAnti" in plan(rows).split("Initial Plan")[0]
