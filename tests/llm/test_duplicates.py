@@ -4,10 +4,12 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loglake.llm import near_dedup
+from loglake.llm import line_dedup, near_dedup
 from loglake.llm.components import components
 from loglake.llm.line_dedup import PERCENT, SHINGLE, dedup_lines
 from loglake.llm.near_dedup import keep_one_of_each, near_duplicates
@@ -150,6 +152,77 @@ def test_pairs_within_a_template_are_found(docs_of):
     assert [found[i] for i in range(120)] == [i % 2 for i in range(120)]
 
 
+def family(seed):
+    """Lines of one template, in pairs that are alike enough, and others that are not."""
+    rng = random.Random(seed)
+
+    def some(count):
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=count))
+
+    template = some(150)
+    return [template + pair + some(18) for pair in (some(60) for _ in range(30)) for _ in range(2)]
+
+
+@pytest.mark.parametrize("crowd", [line_dedup.CROWD, 3])
+def test_open_buckets_are_settled_whatever_their_size(docs_of, monkeypatch, crowd):
+    """Nodes that the ends of a bucket leave open are compared by their sketches; only those of
+    crowded buckets are spread out by shingle, and texts are fetched for few pairs."""
+    stored = {}
+
+    def scratch_table(df, name):
+        stored[name] = line_dedup_scratch(df, name)
+        return stored[name]
+
+    line_dedup_scratch = line_dedup.scratch_table
+    monkeypatch.setattr(line_dedup, "scratch_table", scratch_table)
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    lines = [x for seed in range(3) for x in family(seed)]
+    expected = classes([line_set(x) for x in lines], PERCENT)
+    assert len(set(expected)) == len(lines) // 2
+    found = {r.doc_id: r._gone for r in dedup_lines(docs_of(*lines)).collect()}
+    assert [found[i] for i in range(len(lines))] == [int(x != i) for i, x in enumerate(expected)]
+    assert ("line-rare-shingles" in stored) == (crowd == 3)
+    assert stored["line-pairs"].count() + stored["line-open-pairs"].count() < 2 * len(lines)
+
+
+def sketches_of(*sets):
+    ordered = np.concatenate([np.sort(np.uint64(i) << np.uint64(44) | x) for i, x in enumerate(sets)])
+    return line_dedup._sketches(ordered, len(sets))
+
+
+def test_sketches_lose_no_pair_and_part_most_others():
+    rng = np.random.default_rng(7)
+    passed = {}
+    for size in (9, 45, 200, 3000):
+        for both in (8, 4):  # tenths of the union that both sets have
+            hits = []
+            for _ in range(200):
+                union = np.unique(rng.integers(0, 1 << 44, size, dtype=np.uint64))
+                rng.shuffle(union)
+                common = -(-len(union) * both // 10)
+                cut = common + (len(union) - common) // 2
+                x, y = union[:cut], np.concatenate((union[:common], union[cut:]))
+                a, b = (line_dedup._unpacked(pa.array([s])) for s in sketches_of(x, y))
+                sizes = np.array([len(x)]), np.array([len(y)])
+                hits.append(bool(line_dedup._maybe_alike(a, b, *sizes, PERCENT)[0]))
+            passed[size, both] = np.mean(hits)
+    assert all(passed[size, 8] == 1 for size in (9, 45, 200, 3000))
+    assert passed[200, 4] < 0.05 and passed[3000, 4] < 0.02
+
+
+def test_pairs_of_a_bucket_are_found_across_batches():
+    """Each bucket's pairs of different roots, wherever batches begin."""
+    x, y = sketches_of(*(np.arange(i, 200, dtype=np.uint64) << np.uint64(36) for i in (0, 100)))
+    buckets = [-5, -5, -5, 2, 7, 7, 7, 7]
+    columns = [buckets, range(8), [0, 0, 2, 3, 4, 5, 6, 4], [200] * 8, [x, x, x, x, x, x, y, x]]
+    table = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.binary()], strict=True)], names=["bucket", "node", "root", "size", "sketch"])
+    for size in (1, 3, 8):
+        parts = [table.slice(i, size) for i in range(0, 8, size)]
+        found = [tuple(r.values()) for b in line_dedup._likely_inside(iter([*parts, table.slice(0, 0)]), PERCENT) for r in b.to_pylist()]
+        assert sorted(found) == [(0, 2), (1, 2), (4, 5), (5, 7)]
+    assert not list(line_dedup._likely_inside(iter([table.slice(0, 0)]), PERCENT))
+
+
 def test_a_line_of_ordinary_length_with_a_small_edit_links(docs_of):
     lines = [f"Copyright {year} Example Works, some rights reserved" for year in (2021, 2022)]
     assert [len(x) for x in lines] == [50, 50]
