@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm.keys import plain
+from loglake.session import bound_batches
 
 HELD_OUT = 2
 THRESHOLD = 0.3
@@ -179,6 +180,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     Teaching windows and the counts of teaching documents come to the driver; both have a
     bound (WINDOWS_EACH windows, one row of counts for each teaching document).
     """
+    bound_batches(docs.sparkSession)
     rows = teaching_rows(docs, labels)
     marks = _marks(_words(rows))
     ordinary = rows.where("toxic = 0").select("text").mapInArrow(_sample_windows, "window binary").orderBy("window").collect()

@@ -13,6 +13,7 @@ from loglake.llm import line_dedup, near_dedup
 from loglake.llm.components import components
 from loglake.llm.line_dedup import PERCENT, SHINGLE, dedup_lines
 from loglake.llm.near_dedup import keep_one_of_each, near_duplicates
+from loglake.session import BATCH_BYTES, bound_batches
 
 
 def classes(sets, percent):
@@ -185,6 +186,13 @@ def test_open_buckets_are_settled_whatever_their_size(docs_of, monkeypatch, crow
     assert stored["line-pairs"].count() + stored["line-open-pairs"].count() < 2 * len(lines)
 
 
+def test_batches_of_long_texts_stay_small(spark):
+    bound_batches(spark)
+    docs = spark.range(0, 64, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches), "n long")
+    assert sizes.agg(F.max("n")).first()[0] < BATCH_BYTES + (2 << 20)
+
+
 def sketches_of(*sets):
     ordered = np.concatenate([np.sort(np.uint64(i) << np.uint64(44) | x) for i, x in enumerate(sets)])
     return line_dedup._sketches(ordered, len(sets))
