@@ -85,6 +85,23 @@ def observed_schema(lines: DataFrame) -> tuple[T.StructType, bool]:
     return found, row.unreadable
 
 
+def merged_type(one: T.DataType, other: T.DataType) -> T.DataType:
+    """Type of two parts of a batch together, as ``observed_schema`` has it if it sees both."""
+    if one == other or isinstance(other, T.NullType):
+        return one
+    if isinstance(one, T.NullType):
+        return other
+    if isinstance(one, T.ArrayType) and isinstance(other, T.ArrayType):
+        return T.ArrayType(merged_type(one.elementType, other.elementType))
+    if isinstance(one, T.StructType) and isinstance(other, T.StructType):
+        types = {f.name: f.dataType for f in one}
+        for f in other:
+            types[f.name] = merged_type(types[f.name], f.dataType) if f.name in types else f.dataType
+        return T.StructType([T.StructField(name, types[name]) for name in sorted(types)])
+    numeric = {one.simpleString(), other.simpleString()} == {"bigint", "double"}
+    return T.DoubleType() if numeric else T.StringType()
+
+
 def json_fields(lines: DataFrame) -> DataFrame:
     """(_source_file, field, type, rows) of JSON lines; unreadable lines show as a field.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from itertools import islice
@@ -27,7 +28,7 @@ from loglake.operators.cleaning import (
 )
 from loglake.operators.datatests import run_data_tests
 from loglake.operators.quality import check_batch
-from loglake.operators.schema_diff import SEVERITY, observed_schema
+from loglake.operators.schema_diff import SEVERITY, merged_type, observed_schema
 from loglake.operators.upsert import not_set_back
 from loglake.plans.marts import (
     daily_from_cube,
@@ -150,15 +151,26 @@ def new_files(spark: SparkSession, raw_path: str, bronze_path: str) -> tuple[Dat
     return listed, not_taken_in(listed, bronze_path)
 
 
-def incoming_schema(spark: SparkSession, names: list[str], others_there: bool, bronze_path: str) -> T.StructType:
+def incoming_schema(
+    spark: SparkSession,
+    names: Iterable[str],
+    others_there: bool,
+    bronze_path: str,
+    files_at_once: int = FILES_AT_ONCE,
+) -> T.StructType:
     """Schema of the named new files together with the known ones (see ``merged_schema``).
 
-    Only the new files are read, once; the bronze schema stands for the fields of the others.
+    Only the new files are read, each once, ``files_at_once`` of them at a time; the bronze
+    schema stands for the fields of the others.
     """
     existing = table_schema(spark, bronze_path)
-    if not names:
+    names, observed, unreadable = iter(names), None, False
+    while some := list(islice(names, files_at_once)):
+        found, broken = observed_schema(read_lines(spark, as_paths(some)))
+        observed = found if observed is None else merged_type(observed, found)
+        unreadable |= broken
+    if observed is None:
         return RAW_SCHEMA if existing is None else _raw_part(existing)
-    observed, unreadable = observed_schema(read_lines(spark, as_paths(names)))
     return merged_schema(existing, observed, unreadable, others_there)
 
 

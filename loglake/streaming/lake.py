@@ -24,7 +24,7 @@ from loglake.plans.jobs import (
 )
 from loglake.sources.ledger import adopt, begin_run, close_run, ledger
 from loglake.sources.raw import require_event_columns
-from loglake.sources.tables import append_with_evolution, read_appended
+from loglake.sources.tables import append_with_evolution, read_appended, scratch_table
 
 
 def raw_stream(
@@ -34,13 +34,14 @@ def raw_stream(
     schema: T.StructType | None = None,
     **options,
 ) -> DataFrame:
-    """Raw files as a stream. The files there are when it starts set its schema,
+    """Raw files as a stream. All files there are when it starts set its schema,
     unless one is given, so that fields bronze does not have yet come along."""
     if schema is None:
         listed, fresh = new_files(spark, raw_path, bronze_path)
-        names = [r._source_file for r in fresh.limit(FILES_AT_ONCE).collect()]
-        others_there = len(names) == FILES_AT_ONCE or listed.count() > len(names)
-        schema = incoming_schema(spark, names, others_there, bronze_path)
+        fresh = scratch_table(fresh, "new-files")
+        others_there = listed.count() > fresh.count()
+        names = (r._source_file for r in fresh.toLocalIterator())
+        schema = incoming_schema(spark, names, others_there, bronze_path, FILES_AT_ONCE)
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True).options(**options)
     stream = reader.json(raw_path)
     require_event_columns(stream)

@@ -1,13 +1,16 @@
 """Streams end with the tables the batch jobs make."""
 
 import json
+from functools import reduce
 
 import pytest
 from conftest import utc
 from pyspark.errors import StreamingQueryException
 
 from loglake.operators.cleaning import clean_and_type, keep_latest, to_contract
+from loglake.operators.schema_diff import merged_type, observed_schema
 from loglake.sources import events, tables
+from loglake.streaming import lake
 from loglake.streaming.lake import append_bronze, stream_to_bronze, stream_to_silver
 
 
@@ -86,3 +89,29 @@ def test_stream_takes_on_new_fields(spark, tmp_path):
     # a stream that lost its checkpoint meets known files only
     stream_to_bronze(spark, str(raw), bronze, f"{tmp_path}/new").awaitTermination()
     assert tables.read_appended(spark, bronze).count() == 2
+
+
+def test_all_files_set_the_schema_of_a_stream(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake, "FILES_AT_ONCE", 1)
+    raw, bronze = tmp_path / "raw", f"{tmp_path}/bronze"
+    raw.mkdir()
+    more = ({"region": "eu"}, {"latency_ms": 1.5}, {"retries": None}, {"retries": 2, "client": {"os": None}})
+    for i, fields in enumerate((*more, {"client": {"os": "x", "build": 7}})):
+        (raw / f"{i}.jsonl").write_text(json.dumps({**EVENT, "event_id": f"e{i}", **fields}) + "\n")
+    stream_to_bronze(spark, str(raw), bronze, f"{tmp_path}/cp").awaitTermination()
+    rows = tables.read_appended(spark, bronze).orderBy("event_id")
+    found = rows.select("region", "latency_ms", "retries", "client.os", "client.build").collect()
+    none = (None, 5.0, None, None, None)
+    assert [*map(tuple, found)] == [
+        ("eu", *none[1:]), (None, 1.5, *none[2:]), none, (None, 5.0, 2, None, None), (None, 5.0, None, "x", 7)
+    ]
+
+
+def test_parts_of_a_batch_have_the_schema_of_all(spark):
+    lines = ['{"a":1,"b":null,"c":{"x":null}}', '{"a":1.5,"c":{"y":[1]}}', '{"b":true,"c":{"y":[2.5]}}', '{"a":null,"c":{"x":"s"},"d":[]}', "[1]"]
+    for some in (lines, [*lines, '{"a":true,"c":"s","b":7}']):
+        whole, *parts = (
+            observed_schema(spark.createDataFrame([(x,) for x in part], "value string"))[0]
+            for part in (some, *([x] for x in some))
+        )
+        assert reduce(merged_type, parts) == whole
