@@ -248,3 +248,37 @@ def test_odd_rows_and_lines(odd_docs, no_docs):
     assert sorted(r._gone for r in rows if r.doc_id == 2) == [0, 1]
     assert dedup_lines(no_docs).count() == 0
     assert found.where(F.col("_gone") > 0).count() == 2
+
+
+@pytest.mark.parametrize("weight", [line_dedup.WEIGHT, 1000])
+def test_links_inside_buckets_are_those_that_join_components(monkeypatch, weight):
+    """As many links as join what brute force joins, wherever batches begin and however much meets at once."""
+    monkeypatch.setattr(line_dedup, "WEIGHT", weight)
+    lines = [*family(5)[:20], *(x + "yz" for x in family(5)[:3]), "ab"]
+    buckets = [[1, 2] if i < 12 else [2, 3] for i in range(len(lines))]
+    columns = [[4] * 20 + [9] * 4, range(24), [0, 0, *range(2, 24)], buckets, [x.encode() for x in lines]]
+    types = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.binary()]
+    rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["anchor", "node", "root", "buckets", "content"])
+    for size in (1, 7, 24):
+        parts = [rows.slice(i, size) for i in range(0, 24, size)]
+        found = [tuple(r.values()) for b in line_dedup._links_inside(iter([rows.slice(0, 0), *parts]), PERCENT) for r in b.to_pylist()]
+        assert sorted(found) == [*((i, i + 1) for i in range(2, 20, 2)), (20, 21)]
+    assert not list(line_dedup._links_inside(iter([rows.slice(0, 0)]), PERCENT))
+
+
+def test_a_bucket_costs_rows_by_its_nodes_not_their_pairs(docs_of, monkeypatch):
+    """Lines of a template whose pairs are somewhat alike, but too little: texts meet once, not once a pair."""
+    rows, stored = {}, line_dedup.scratch_table
+
+    def scratch_table(df, name):
+        table = stored(df, name)
+        rows[name] = table.count()
+        return table
+
+    monkeypatch.setattr(line_dedup, "scratch_table", scratch_table)
+    rng = random.Random(3)
+    template = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=160))
+    lines = [template + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=24)) for _ in range(200)]
+    assert classes([line_set(x) for x in lines], PERCENT) == list(range(200))
+    assert dedup_lines(docs_of(*lines)).where("_gone > 0").isEmpty()
+    assert rows["line-inner"] > 500 and rows["line-open-pairs"] == 0
